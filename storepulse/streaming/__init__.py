@@ -1,0 +1,6 @@
+"""Streaming.
+
+The report job is a daily batch over a store-by-day table: it has no stream
+source, watermark, event-time window or streaming state, so this package
+holds no operator.  See README, "What is not built".
+"""
