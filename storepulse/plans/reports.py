@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -154,13 +156,52 @@ def combined_first_date(as_of: Column) -> Column:
     )
 
 
+def _period_job(base: DataFrame, lk: DataFrame, period: str, day: Column, save) -> None:
+    """Write one period's three wide reports.
+
+    The store-level frame and every stacked frame (this year, comp, and the
+    shifted prior-year ones) are persisted: each feeds a write and one or two
+    join sides, so its window, rollup and KPIs are computed once.
+    """
+    level = StorageLevel.MEMORY_AND_DISK
+    held: list[DataFrame] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        held.append(df.persist(level))
+        return df
+
+    current = keep(store_frame(base, period))
+    ty = keep(full_union(current, period))
+    cur_comp = keep(full_union(with_open_date(current, lk, prepared=True), period, comp=True))
+    if period in SELF_MATCHED:
+        ly = compare_last_year(ty)
+        comp = compare_last_year(cur_comp)
+    else:
+        prior = keep(shifted_store_frame(base, period, day))
+        ly = compare_last_year(ty, keep(full_union(prior, period)))
+        comp = compare_last_year(
+            cur_comp, keep(full_union(with_open_date(prior, lk, prepared=True), period, comp=True))
+        )
+    try:
+        save(ty, schemas.ty_contract(period), table_name(period, "ty"))
+        save(ly, schemas.COMPARISON, table_name(period, "ly"))
+        save(comp, schemas.COMPARISON, table_name(period, "comp"))
+    finally:
+        for df in held:
+            df.unpersist()
+
+
 def run_job(spark: SparkSession, base: DataFrame, lookup: DataFrame, out_root: str,
-            as_of: str | _dt.date | None = None, periods: tuple[str, ...] = M.PERIODS) -> dict[str, str]:
+            as_of: str | _dt.date | None = None, periods: tuple[str, ...] = M.PERIODS,
+            timings: dict[str, float] | None = None, parallel: int = 4) -> dict[str, str]:
     """Compute and write all thirteen reports under ``out_root``.
 
-    Returns {table name: path}.  Each period's store-level frame (a window over
-    the whole history) is persisted once and feeds its this-year, last-year and
-    comp reports; the shifted prior-year frame likewise.
+    Returns {table name: path}.  The four periods are independent until the
+    long report, so their jobs are submitted from ``parallel`` driver threads
+    (Spark schedules concurrent jobs; on a cluster this keeps executors busy
+    while one period waits on a small stage).  The long report is built from
+    the written tables.  ``timings`` (if given) receives each table's write
+    wall time.
     """
     day = date_literal(as_of)
     lk = prepare_lookup(lookup)
@@ -168,29 +209,15 @@ def run_job(spark: SparkSession, base: DataFrame, lookup: DataFrame, out_root: s
 
     def save(df: DataFrame, contract, name: str) -> None:
         path = os.path.join(out_root, name)
+        start = time.perf_counter()
         write_report(df, contract, path=path)
+        if timings is not None:
+            timings[name] = round(time.perf_counter() - start, 3)
         paths[name] = path
 
-    for period in periods:
-        current = store_frame(base, period).persist(StorageLevel.MEMORY_AND_DISK)
-        held = [current]
-        ty = full_union(current, period)
-        cur_comp = full_union(with_open_date(current, lk, prepared=True), period, comp=True)
-        if period in SELF_MATCHED:
-            ly = compare_last_year(ty)
-            comp = compare_last_year(cur_comp)
-        else:
-            prior = shifted_store_frame(base, period, day).persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(prior)
-            ly = compare_last_year(ty, full_union(prior, period))
-            comp = compare_last_year(
-                cur_comp, full_union(with_open_date(prior, lk, prepared=True), period, comp=True)
-            )
-        save(ty, schemas.ty_contract(period), table_name(period, "ty"))
-        save(ly, schemas.COMPARISON, table_name(period, "ly"))
-        save(comp, schemas.COMPARISON, table_name(period, "comp"))
-        for df in held:
-            df.unpersist()
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        for f in [pool.submit(_period_job, base, lk, p, day, save) for p in periods]:
+            f.result()
 
     frames = {
         f"{M.PERIOD_TAG[p]}_{v}": spark.read.parquet(paths[table_name(p, v)])
