@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from .. import metrics as M
 from .. import schemas
+from ..checks import ly_date_offsets
 from ..operators.compare import compare_last_year
 from ..operators.levels import full_union
 from ..operators.lookup import prepare_lookup, with_open_date
@@ -130,9 +131,15 @@ class Reports:
         return schemas.conform(self.report(period, view), contract)
 
     def combined(self) -> DataFrame:
-        """R13 from the inputs alone, reading only the dates it can depend on."""
-        pruned = Reports(self.base.filter(F.col("report_date") >= combined_first_date(self.as_of)),
-                         self.lookup, self.as_of, self._lookup_prepared)
+        """R13 from the inputs alone, reading only the dates it can depend on.
+
+        The date pruning is applied only after checking that every ``ly_date``
+        is ``report_date - 364``; otherwise the whole base is used.
+        """
+        base = self.base
+        if ly_date_offsets(base) == 0:
+            base = base.filter(F.col("report_date") >= combined_first_date(self.as_of))
+        pruned = Reports(base, self.lookup, self.as_of, self._lookup_prepared)
         frames = {
             f"{M.PERIOD_TAG[p]}_{v}": pruned.report(p, v)
             for p in M.PERIODS for v in ("ty", "ly", "comp")
@@ -145,9 +152,8 @@ def combined_first_date(as_of: Column) -> Column:
 
     A row dated D needs base rows from the start of D's year (year-to-date),
     the same span a year earlier shifted by 364 days (year-to-date last year),
-    and the week of D - 364 (week-to-date last year).  Valid because
-    ``ly_date = report_date - 364`` holds in the base (checked by
-    ``checks.ly_date_offsets``).
+    and the week of D - 364 (week-to-date last year).  Valid when
+    ``ly_date = report_date - 364`` holds in the base (``checks.ly_date_offsets``).
     """
     first = F.date_sub(as_of, M.ROLLING_WINDOW_DAYS)
     return F.least(

@@ -21,6 +21,10 @@ LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    # HotSpot does not JIT methods over 8000 bytes of bytecode; wider fused
+    # stages (71-column KPI and 48-column growth projections) would run
+    # interpreted.  Above this size Spark compiles per operator instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
