@@ -225,9 +225,10 @@ def run_job(spark: SparkSession, base: DataFrame, lookup: DataFrame, out_root: s
         for f in [pool.submit(_period_job, base, lk, p, day, save) for p in periods]:
             f.result()
 
-    frames = {
-        f"{M.PERIOD_TAG[p]}_{v}": spark.read.parquet(paths[table_name(p, v)])
-        for p in periods for v in ("ty", "ly", "comp")
-    }
-    save(combine(frames, day), schemas.TRANSPOSED, COMBINED_TABLE)
+    if set(periods) == set(M.PERIODS):  # the long table needs all twelve frames
+        frames = {
+            f"{M.PERIOD_TAG[p]}_{v}": spark.read.parquet(paths[table_name(p, v)])
+            for p in M.PERIODS for v in ("ty", "ly", "comp")
+        }
+        save(combine(frames, day), schemas.TRANSPOSED, COMBINED_TABLE)
     return paths

@@ -72,10 +72,17 @@ def test_run_job_writes_all_tables(spark):
         else:
             period = {"daily": "daily", "wtd": "week", "mtd": "month", "ytd": "year"}[name.split("_")[0]]
             assert df.schema == schemas.ty_contract(period)
-    # the long table built from the written tables equals the one built from the inputs
+    # every written table equals the report built directly from the inputs
+    direct = Reports(base, lookup, date_literal("2001-08-01"))
+    for p in M.PERIODS:
+        for v in ("ty", "ly", "comp"):
+            written = spark.read.parquet(paths[f"{v}_{M.PERIOD_TAG[p]}_report" if v != "ty"
+                                               else f"{M.PERIOD_TAG[p]}_report"])
+            want = direct.conformed(p, v)
+            assert written.exceptAll(want).count() == 0 and want.exceptAll(written).count() == 0, (p, v)
     written = spark.read.parquet(paths["combined_transposed_report"])
-    direct = Reports(base, lookup, date_literal("2001-08-01")).combined()
-    assert written.exceptAll(direct).count() == 0 and direct.exceptAll(written).count() == 0
+    want = direct.combined()
+    assert written.exceptAll(want).count() == 0 and want.exceptAll(written).count() == 0
     assert os.path.isdir(out)
 
 
