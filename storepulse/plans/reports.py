@@ -18,6 +18,7 @@ from __future__ import annotations
 import datetime as _dt
 import os
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -33,6 +34,7 @@ from ..operators.levels import full_union
 from ..operators.lookup import prepare_lookup, with_open_date
 from ..operators.periods import past_year_slice, period_to_date
 from ..operators.transpose import combine
+from ..session import ensure_checkpoint_dir
 from ..sinks.writer import write_report
 
 # Periods whose last-year match is the row's own ly_date (J1); the others use
@@ -48,7 +50,9 @@ def table_name(period: str, view: str) -> str:
 COMBINED_TABLE = "combined_transposed_report"
 
 
-def date_literal(value: str | _dt.date | None) -> Column:
+def date_literal(value: str | _dt.date | Column | None) -> Column:
+    if isinstance(value, Column):
+        return value
     day = value or _dt.date.today()
     return F.lit(str(day)).cast("date")
 
@@ -130,21 +134,24 @@ class Reports:
         contract = schemas.ty_contract(period) if view == "ty" else schemas.COMPARISON
         return schemas.conform(self.report(period, view), contract)
 
-    def combined(self) -> DataFrame:
+    def combined(self, out_root: str | None = None) -> DataFrame:
         """R13 from the inputs alone, reading only the dates it can depend on.
 
-        The date pruning is applied only after checking that every ``ly_date``
-        is ``report_date - 364``; otherwise the whole base is used.
+        Runs the production job (``run_job``) on the date-pruned base into
+        ``out_root`` (default: a fresh folder under ``spark.checkpoint.dir``)
+        and reads the written long table back, so the twelve wide reports are
+        materialized once instead of being planned as one huge query.  The
+        date pruning is applied only after checking that every ``ly_date`` is
+        ``report_date - 364``; otherwise the whole base is used.
         """
         base = self.base
         if ly_date_offsets(base) == 0:
             base = base.filter(F.col("report_date") >= combined_first_date(self.as_of))
-        pruned = Reports(base, self.lookup, self.as_of, self._lookup_prepared)
-        frames = {
-            f"{M.PERIOD_TAG[p]}_{v}": pruned.report(p, v)
-            for p in M.PERIODS for v in ("ty", "ly", "comp")
-        }
-        return schemas.conform(combine(frames, self.as_of), schemas.TRANSPOSED)
+        spark = base.sparkSession
+        if out_root is None:
+            out_root = os.path.join(ensure_checkpoint_dir(spark), f"combined-{uuid.uuid4().hex}")
+        paths = run_job(spark, base, self.lookup, out_root, as_of=self.as_of)
+        return spark.read.parquet(paths[COMBINED_TABLE])
 
 
 def combined_first_date(as_of: Column) -> Column:
@@ -198,7 +205,7 @@ def _period_job(base: DataFrame, lk: DataFrame, period: str, day: Column, save)
 
 
 def run_job(spark: SparkSession, base: DataFrame, lookup: DataFrame, out_root: str,
-            as_of: str | _dt.date | None = None, periods: tuple[str, ...] = M.PERIODS,
+            as_of: str | _dt.date | Column | None = None, periods: tuple[str, ...] = M.PERIODS,
             timings: dict[str, float] | None = None, parallel: int = 4) -> dict[str, str]:
     """Compute and write all thirteen reports under ``out_root``.
 

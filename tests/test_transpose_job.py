@@ -99,3 +99,14 @@ def test_tiny_values_round_trip(make_base):
     r = with_kpis(make_base([base_row("2024-03-04", traffic=3, total_sales_amt="0.01")])).collect()[0]
     assert r.sales_per_guest == Decimal("0.00")
     assert dt.date(2024, 3, 4) == r.report_date
+
+
+def test_wide_report_keys_are_unique(spark):
+    """The union-based long table relies on unique (date, level, segment)."""
+    from storepulse.checks import duplicate_keys, ly_date_offsets
+    base, lookup = _inputs(spark)
+    assert ly_date_offsets(base) == 0
+    r = Reports(base, lookup, date_literal("2001-08-01"))
+    for p in ("daily", "month"):
+        for v in ("ty", "comp"):
+            assert duplicate_keys(r.report(p, v), ["report_date", "filter_level", "segment"]) == 0, (p, v)
