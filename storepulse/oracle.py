@@ -22,7 +22,6 @@ from .sources import fixtures as FX
 
 AS_OF = "DATE '2001-08-01'"
 DOUBLE_KPIS = tuple(k.name for k in M.KPIS if k.double)
-_KPI = {k.name: k for k in M.KPIS}
 
 
 def _duck_type(dt) -> str:
