@@ -18,8 +18,7 @@ from .. import schemas
 
 def table_path(root: str, name: str) -> str:
     """Path of one Parquet table under a data root (``<root>/<name>.parquet``)."""
-    plain = os.path.join(root, f"{name}.parquet")
-    return plain
+    return os.path.join(root, f"{name}.parquet")
 
 
 def read_table(spark: SparkSession, root: str, name: str, columns: list[str] | None = None) -> DataFrame:
