@@ -1,14 +1,13 @@
 """Session helpers for tests, the bench and local runs.
 
 On a cluster the session comes from the platform; nothing here overrides a
-setting that is already present.  ``spark.checkpoint.dir`` is read from the
-session and only filled in (with a fresh scratch folder) when unset.
+setting that is already present.  ``spark.checkpoint.dir`` names storage that
+the driver and all executors share; it is read from the session, never made up.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -35,15 +34,22 @@ def local_session(cpus: int | str = "*", app: str = "storepulse", extra: dict |
     builder = builder.config("spark.driver.memory", os.environ.get("STOREPULSE_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a scratch one only when unset."""
+    """The session's checkpoint folder, made ready for ``checkpoint()``.
+
+    Read from ``spark.checkpoint.dir``, or else from what the application has
+    set with ``SparkContext.setCheckpointDir``; without either it raises.
+    """
+    have = spark.sparkContext._jsc.sc().getCheckpointDir()
     current = spark.conf.get("spark.checkpoint.dir", None)
+    if have.isDefined():
+        return current or have.get()
     if not current:
-        current = tempfile.mkdtemp(prefix="storepulse-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
+        raise ValueError(
+            "spark.checkpoint.dir is not set: name a folder that the driver and all executors share "
+            "when the session is built, for example .config('spark.checkpoint.dir', 'hdfs:///checkpoints')")
     spark.sparkContext.setCheckpointDir(current)
     return current

@@ -16,8 +16,11 @@ from storepulse.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = local_session("*", app="storepulse-tests", extra={"spark.sql.shuffle.partitions": "8"})
+def spark(tmp_path_factory):
+    s = local_session("*", app="storepulse-tests", extra={
+        "spark.sql.shuffle.partitions": "8",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
+    })
     yield s
     s.stop()
 
