@@ -32,13 +32,15 @@ def _last_year_side(df: DataFrame, shifted: bool) -> DataFrame:
     )
 
 
-def compare_last_year(ty: DataFrame, last_year: DataFrame | None = None) -> DataFrame:
-    """G1 over J1 (``last_year is None``: self match on ``ly_date``) or J2.
+def compare_last_year(ty: DataFrame, last_year: DataFrame | None = None, own_calendar: DataFrame | None = None) -> DataFrame:
+    """G1 over J1 (``last_year is None``: match on ``ly_date``) or J2.
 
+    ``own_calendar``: the frame whose dates J1's ``ly_date`` is looked up in, if
+    not ``ty`` itself (both may be cut to the dates that are needed).
     Returns the nine keys of the this-year row and 48 clamped percent changes.
     """
     shifted = last_year is not None
-    ly = _last_year_side(last_year if shifted else ty, shifted)
+    ly = _last_year_side(last_year if shifted else ty if own_calendar is None else own_calendar, shifted)
     this_date = F.col("report_date") if shifted else F.col("ly_date")
     joined = ty.join(
         ly,

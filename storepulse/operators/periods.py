@@ -1,9 +1,10 @@
 """Period-to-date running sums and the shifted prior year.
 
 The running sum is a window partitioned by (period start, store), ordered by
-date, frame ROWS UNBOUNDED PRECEDING..CURRENT ROW.  A partition holds at most
-one period of one store (<= 366 rows), so the window never builds a huge
-partition; all 38 sums share one window spec and therefore one sort.
+date, frame ROWS UNBOUNDED PRECEDING..CURRENT ROW.  Where (store, date) is
+unique a partition holds at most one period of one store (<= 366 rows); rows
+without a store name share one partition a period, as defined.  All 38 sums
+share one window spec and therefore one sort.
 """
 
 from __future__ import annotations
@@ -12,11 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import metrics as M
-
-PTD_COLUMNS = (
-    "report_date", "ly_date", "app_key", "profit_center", "custom_key",
-    "filter_level", "segment", "store_name", "region", "market",
-)
+from .filters import until
 
 
 def period_start(period: str, date_col: str = "report_date") -> Column:
@@ -38,13 +35,13 @@ def period_to_date(df: DataFrame, period: str, date_col: str = "report_date") ->
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return staged.select(
-        *PTD_COLUMNS[:2], pcol, *PTD_COLUMNS[2:],
+        *M.KEY_COLUMNS[:2], pcol, *M.KEY_COLUMNS[2:],
         *[F.sum(c).over(w).alias(c) for c in M.ADDITIVE_MEASURES],
     )
 
 
 def past_year_slice(df: DataFrame, as_of: Column) -> DataFrame:
     """Rows at least 365 days old, with ``ny_date`` = report_date + 364."""
-    return df.filter(F.col("report_date") <= F.date_sub(as_of, M.PAST_YEAR_CUTOFF_DAYS)).withColumn(
+    return until(df, as_of, M.PAST_YEAR_CUTOFF_DAYS).withColumn(
         "ny_date", F.date_add(F.col("report_date"), M.LY_SHIFT_DAYS)
     )

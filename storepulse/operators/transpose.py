@@ -7,21 +7,24 @@ values to decimal(21,2), last-year and comp changes to decimal(10,2).
 
 J4 combines twelve such frames.  Instead of eleven full outer joins on six
 keys (each a shuffle, each re-partitioning a growing frame), the wide frames
-are packed as (date, level, segment, source, 48-value array), unioned, and
-grouped once on (date, level, segment); each source becomes one column, and
-only then is the result exploded to 48 rows per key.  The single shuffle moves
-one array per key and source instead of 48 keyed rows.
-
-Equivalence with the full-join chain needs (date, level, segment) to be
-unique within each frame, which the report builders guarantee.  A null key
-component never matches in a join, so such rows are kept apart per source.
+are packed as (date, level, segment, source, 48-value array), unioned, dealt
+once by (date, level, segment) and grouped there; each source becomes one
+column, and only then is the result exploded to 48 rows per key.  The single
+shuffle moves one array per key and source instead of 48 keyed rows.
+
+A full join multiplies rows that repeat a key within a frame.  Such keys
+(normally none) are told apart by a count in the same grouping: their rows are
+numbered within their source, each combination of one row per source gets its
+own number, and one join and one grouping by key and combination give the
+product.  A null key component never matches in a join, so such rows are kept
+apart per source, and one by one.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import metrics as M
@@ -62,25 +65,59 @@ def _packed(df: DataFrame, source: int, value_column: str) -> DataFrame:
     return df.select(*LONG_KEYS, F.lit(source).alias("_src"), values.alias("_values"))
 
 
+def _combined(rows: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """One row for each of ``keys``, with each source's values in a column of its own."""
+    return rows.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_src") == i, F.col("_values"))).alias(n) for i, n in enumerate(names)],
+        F.count("*").alias("_n"), F.bit_or(F.expr("shiftleft(1L, _src)")).alias("_sources"))
+
+
+def _products(rows: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """Every combination of one row per source, for keys that a source has more than once.
+
+    Combination c takes row (c / step) % n of a source that has n rows, where step is
+    the product of the counts of the sources before it.
+    """
+    numbered = rows.withColumn("_i", F.row_number().over(
+        Window.partitionBy(*keys, "_src").orderBy("_values")) - 1)
+    counts = rows.groupBy(*keys, "_src").agg(F.count("*").alias("_of"))
+    steps = counts.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_src", "_of"))).alias("_counts"))  # 12 at most
+    total = F.aggregate("_counts", F.lit(1).cast("long"), lambda a, c: a * c["_of"])
+    each = steps.select(*keys, "_counts", F.explode(F.sequence(F.lit(0).cast("long"), total - 1)).alias("_c"))
+    each = each.select(*keys, "_c", F.posexplode("_counts").alias("_k", "_one"), "_counts")
+    step = F.aggregate(F.slice("_counts", F.lit(1), F.col("_k")), F.lit(1).cast("long"), lambda a, c: a * c["_of"])
+    each = each.select(*[F.col(k).alias(f"r_{k}") for k in keys], "_c", F.col("_one._src").alias("r_src"),
+                       F.pmod(F.floor(F.col("_c") / step), F.col("_one._of")).alias("r_i"))
+    same = [F.col(k) == F.col(f"r_{k}") for k in keys]
+    picked = numbered.join(each, [*same, F.col("_src") == F.col("r_src"), F.col("_i") == F.col("r_i")])
+    return _combined(picked.select(*keys, "_c", "_src", "_values"), [*keys, "_c"], names)
+
+
 def combine(frames: dict[str, DataFrame], as_of: Column) -> DataFrame:
     """J4 + T1 for all frames: {value column name: wide report} -> long table."""
-    names = list(frames)
+    names, keys = list(frames), list(LONG_KEYS)
     packed = reduce(
         DataFrame.unionByName,
         [_packed(since(df, as_of, M.ROLLING_WINDOW_DAYS), i, n) for i, (n, df) in enumerate(frames.items())],
     )
-    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in LONG_KEYS])
-    grouped = packed.groupBy(*LONG_KEYS, F.when(null_key, F.col("_src")).alias("_null_src")).agg(
-        *[F.max(F.when(F.col("_src") == i, F.col("_values"))).alias(n) for i, n in enumerate(names)]
-    )
+    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    whole = packed.where(~null_key).repartition(*keys)  # one exchange for the groupings below
+    grouped = _combined(whole, keys, names)
+    repeated = F.col("_n") > F.bit_count("_sources")
+    again = grouped.where(repeated).select(*[F.col(k).alias(f"d_{k}") for k in keys])
+    several = whole.join(again, [F.col(k) == F.col(f"d_{k}") for k in keys], "left_semi")
+    alone = packed.where(null_key).select(
+        *keys, *[F.when(F.col("_src") == i, F.col("_values")).alias(n) for i, n in enumerate(names)])
+    rows = grouped.where(~repeated).select(*keys, *names).unionByName(
+        _products(several, keys, names).select(*keys, *names)).unionByName(alone)
     metrics = F.array(*[
         F.struct(F.lit(i).alias("pos"), F.lit(label).alias("metric"),
                  F.lit(order).alias("column_order"), F.lit(color).alias("color"))
         for i, (label, _, order, color) in enumerate(M.CATALOGUE)
     ])
-    long = grouped.select(*LONG_KEYS, *names, F.explode(metrics).alias("_m"))
+    long = rows.select(*keys, *names, F.explode(metrics).alias("_m"))
     return long.select(
-        *LONG_KEYS,
+        *keys,
         F.col("_m.metric").alias("metric"),
         F.col("_m.column_order").alias("column_order"),
         F.col("_m.color").alias("color"),

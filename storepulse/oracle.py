@@ -16,6 +16,9 @@ shortest decimal representation).
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 from . import metrics as M
 from .schemas import COMPARISON, REPORT_BASE, STORE_LOOKUP, TRANSPOSED, measure_type, ty_contract
 from .sources import fixtures as FX
@@ -107,7 +110,10 @@ class _Graph:
 
         for d in deps:
             visit(d)
-        ctes = ",\n".join(f"{n} AS (\n{self.defs[n][0]}\n)" for n in order)
+        # what is read more than once is computed once, whatever statement the query is put into
+        bodies = [final, *(self.defs[n][0] for n in order)]
+        uses = Counter(w for b in bodies for w in re.findall(r"\b(?:FROM|JOIN)\s+(\w+)", b))
+        ctes = ",\n".join(f"{n} AS {'MATERIALIZED ' if uses[n] > 1 else ''}(\n{self.defs[n][0]}\n)" for n in order)
         return f"WITH {ctes}\n{final}"
 
 
@@ -376,7 +382,7 @@ _ROLL_KEYS = ("report_date", "ly_date", "filter_level", "segment", "custom_key",
 def _rollup_query(src: str, segment: str | None, period: str = "daily", level: str | None = None):
     pcol = M.period_column(period)
     keys = list(_ROLL_KEYS) + ([pcol] if pcol else [])
-    cond = f"filter_level = '{level}'" if level else f"segment = '{segment}'"
+    cond = f"filter_level = '{level}'" if level else f"filter_level = 'Aggregated' AND segment = '{segment}'"
     return (f"SELECT {', '.join(keys)}, {_measure_cast(_MEAS)} FROM {src} WHERE {cond}", (src,))
 
 

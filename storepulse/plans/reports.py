@@ -2,8 +2,10 @@
 
 Two ways to run them:
 
-* ``Reports`` builds any single report lazily from the two inputs (used by
-  the query registry and tests).  Each call returns an unevaluated DataFrame.
+* ``Reports`` builds any single report from the two inputs (used by the query
+  registry and tests) as an unevaluated DataFrame.  Two small checks run as it
+  is built: whether the lookup is small enough to broadcast, and for the long
+  report whether ``ly_date`` is always 364 days back.
 * ``run_job`` is the production job: it computes each period's store-level
   frame once (persisted), writes the twelve wide tables, then builds the long
   table from the *written* tables (reading back cuts the lineage and lets
@@ -18,7 +20,6 @@ from __future__ import annotations
 import datetime as _dt
 import os
 import time
-import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -30,11 +31,11 @@ from .. import metrics as M
 from .. import schemas
 from ..checks import ly_date_offsets
 from ..operators.compare import compare_last_year
+from ..operators.filters import since
 from ..operators.levels import full_union
 from ..operators.lookup import prepare_lookup, with_open_date
 from ..operators.periods import past_year_slice, period_to_date
 from ..operators.transpose import combine
-from ..session import ensure_checkpoint_dir
 from ..sinks.writer import write_report
 
 # Periods whose last-year match is the row's own ly_date (J1); the others use
@@ -134,24 +135,41 @@ class Reports:
         contract = schemas.ty_contract(period) if view == "ty" else schemas.COMPARISON
         return schemas.conform(self.report(period, view), contract)
 
-    def combined(self, out_root: str | None = None) -> DataFrame:
-        """R13 from the inputs alone, reading only the dates it can depend on.
+    def combined(self) -> DataFrame:
+        """R13 from the inputs alone, lazily, computing only the dates it shows.
 
-        Runs the production job (``run_job``) on the date-pruned base into
-        ``out_root`` (default: a fresh folder under ``spark.checkpoint.dir``)
-        and reads the written long table back, so the twelve wide reports are
-        materialized once instead of being planned as one huge query.  The
-        date pruning is applied only after checking that every ``ly_date`` is
-        ``report_date - 364``; otherwise the whole base is used.
+        The long table has the last 91 days.  Each period's store rows are cut
+        to these days after the running sums (which need the days before) and
+        before the rollup, KPIs and comparison; the prior-year side is cut to
+        the days these are compared with.  The base is cut to the dates that
+        the running sums of both need, after checking that every ``ly_date``
+        is ``report_date - 364``; otherwise nothing but the shown days is cut.
         """
-        base = self.base
-        if ly_date_offsets(base) == 0:
+        return combine(self.recent_frames(), self.as_of)
+
+    def recent_frames(self) -> dict[str, DataFrame]:
+        """The twelve wide reports, {value column: frame}, for the days of the long table."""
+        base, days, exact = self.base, M.ROLLING_WINDOW_DAYS, ly_date_offsets(self.base) == 0
+        if exact:
             base = base.filter(F.col("report_date") >= combined_first_date(self.as_of))
-        spark = base.sparkSession
-        if out_root is None:
-            out_root = os.path.join(ensure_checkpoint_dir(spark), f"combined-{uuid.uuid4().hex}")
-        paths = run_job(spark, base, self.lookup, out_root, as_of=self.as_of)
-        return spark.read.parquet(paths[COMBINED_TABLE])
+        back = days + M.LY_SHIFT_DAYS
+        frames: dict[str, DataFrame] = {}
+        for p in M.PERIODS:
+            every = store_frame(base, p)
+            now = since(every, self.as_of, days)
+            if p in SELF_MATCHED:
+                last = since(every, self.as_of, back) if exact else every  # no upper end: rows after as_of are shown
+            else:
+                last = since(shifted_store_frame(base, p, self.as_of), self.as_of, back)
+            tag = M.PERIOD_TAG[p]
+            for view, comp in (("ly", False), ("comp", True)):
+                cur = full_union(self.with_open(now) if comp else now, p, comp)
+                past = full_union(self.with_open(last) if comp else last, p, comp)
+                if not comp:
+                    frames[f"{tag}_ty"] = cur
+                frames[f"{tag}_{view}"] = (compare_last_year(cur, own_calendar=past) if p in SELF_MATCHED
+                                           else compare_last_year(cur, past))
+        return frames
 
 
 def combined_first_date(as_of: Column) -> Column:
@@ -183,7 +201,8 @@ def _period_job(base: DataFrame, lk: DataFrame, period: str, day: Column, save)
         held.append(df.persist(level))
         return df
 
-    current = keep(store_frame(base, period))
+    # the daily store frame is the caller's base itself: its caching is the caller's
+    current = base if period == "daily" else keep(store_frame(base, period))
     ty = keep(full_union(current, period))
     cur_comp = keep(full_union(with_open_date(current, lk, prepared=True), period, comp=True))
     if period in SELF_MATCHED:

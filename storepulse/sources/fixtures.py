@@ -82,13 +82,10 @@ def _order_level(spark: SparkSession, root: str) -> DataFrame:
     ])
     pt = read_table(spark, root, "part", ["p_partkey", "p_type"])
 
-    # Lines meet their part first, then are hash-partitioned by order key: the
-    # orders join and the per-order aggregation below reuse that partitioning
-    # (no further exchange of line-level rows), and the decimal-heavy
-    # aggregation runs on every core even when the scan has few splits.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Lines meet their part, then their order; the per-order aggregation below
+    # reuses the partitioning of a shuffled orders join, and adaptive execution
+    # sizes and splits the exchanges.
     lines = (li.join(pt, li.l_partkey == pt.p_partkey)
-             .repartition(parts, "l_orderkey")
              .join(od, F.col("l_orderkey") == od.o_orderkey))
     e = "CAST(l_extendedprice AS DECIMAL(15,2))"
     net = f"{e} * (1 - CAST(l_discount AS DECIMAL(4,2)))"

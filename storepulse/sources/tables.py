@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 
@@ -27,28 +27,29 @@ def read_table(spark: SparkSession, root: str, name: str, columns: list[str] | N
     return df.select(*columns) if columns else df
 
 
-def read_report_base(spark: SparkSession, path: str | None = None, table: str | None = None) -> DataFrame:
-    """The store-by-day fact table, checked against its declared schema.
+def checked(df: DataFrame, schema: T.StructType, name: str) -> DataFrame:
+    """``df``'s columns of ``schema``, or an error that names those missing or of another type."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    missing = [f.name for f in schema.fields if f.name not in have]
+    differ = [f"{f.name} is {have[f.name].simpleString()}, not {f.dataType.simpleString()}"
+              for f in schema.fields if f.name in have and have[f.name] != f.dataType]
+    if missing or differ:
+        raise ValueError(f"{name}: " + "; ".join([f"missing {', '.join(missing)}"] * bool(missing) + differ))
+    return df.select(*[f.name for f in schema.fields])
 
-    Reading with an explicit schema avoids a footer-inference pass over
-    thousands of files and fails fast on a drifted upstream table.
-    """
-    if table:
-        df = spark.table(table)
-    else:
-        df = spark.read.schema(schemas.REPORT_BASE).parquet(path)
-    return df.select(*schemas.cast_to(schemas.REPORT_BASE))
 
+def _stored(spark: SparkSession, path: str | None, table: str | None) -> DataFrame:
+    """A table's or a Parquet folder's own columns and types (of a folder, from one file's footer)."""
+    if (path is None) == (table is None):
+        raise ValueError("name either a path or a table")
+    return spark.table(table) if table else spark.read.parquet(path)
 
-def read_store_lookup(spark: SparkSession, path: str | None = None, table: str | None = None) -> DataFrame:
-    """S3: the store dimension (opening dates)."""
-    if table:
-        df = spark.table(table)
-    else:
-        df = spark.read.schema(schemas.STORE_LOOKUP).parquet(path)
-    return df.select(*schemas.cast_to(schemas.STORE_LOOKUP))
 
+def read_report_base(spark: SparkSession, path: str | None = None, table: str | None = None) -> DataFrame:
+    """The store-by-day fact table; a missing, renamed or differently typed column is an error."""
+    return checked(_stored(spark, path, table), schemas.REPORT_BASE, "report base")
 
-def as_date(value) -> "F.Column":
-    """A report date parameter as a DATE literal column."""
-    return F.lit(str(value)).cast("date")
+
+def read_store_lookup(spark: SparkSession, path: str | None = None, table: str | None = None) -> DataFrame:
+    """S3: the store dimension (opening dates), checked like the base."""
+    return checked(_stored(spark, path, table), schemas.STORE_LOOKUP, "store lookup")

@@ -10,9 +10,11 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from oracle_check import check, duck  # noqa: E402
 
+from storepulse import registry  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
 SQL = E.oracle_sql()
-QUERIES = E.queries()
+QUERIES = registry.QUERIES
 
 
 @pytest.fixture(scope="module")
