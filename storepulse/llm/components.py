@@ -13,12 +13,33 @@ the largest component.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .frames import checkpointed
 
 
+class Forest:
+    """Components of the rows of one task, as links are found: ``label`` is the first row reachable."""
+
+    def __init__(self, n: int):
+        self.label = np.arange(n)
+
+    def join(self, i: np.ndarray, j: np.ndarray) -> None:
+        label = self.label
+        while i.size:
+            a, b = label[i], label[j]
+            apart = a != b
+            i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+            np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+            while True:
+                up = label[label]
+                if np.array_equal(up, label):
+                    break
+                label[:] = up
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -53,3 +54,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder, its lineage cut."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under the checkpoint folder, as a path that the driver and all workers can open."""
+    base = ensure_checkpoint_dir(spark)
+    if base.startswith("file:"):
+        base = "/" + base[5:].lstrip("/")
+    elif "://" in base:
+        raise ValueError(f"files here are memory-mapped by workers: {base} has to be a mounted folder (file:)")
+    folder = os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+    os.makedirs(folder)
+    return folder

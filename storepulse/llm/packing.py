@@ -24,8 +24,6 @@ result.  Extra columns are left out.
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -36,43 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .byte_bpe import Encoder
+
 WINDOW = 2048
 SEPARATOR = 1
 MAX_OPEN = 4096  # windows; their ids take 4 * WINDOW bytes each at most
-CACHED_WORDS = 400_000
-LONG_PIECE = 64  # characters; longer pieces are not kept
 PARTITION_BITS = 36  # sequences of one task: fewer than 2 ** 36
 
 
-class WordIds(dict):
-    """Token ids (little-endian unsigned 32-bit bytes) of pieces of text that the tokenizer never merges across."""
-
-    #: A single space between two other characters starts a new pre-token of byte-level BPE.
-    split = staticmethod(re.compile(r"(?<=\S)(?= \S)").split)
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-
-    def encode(self, text: str) -> bytes:
-        """All ids of a text."""
-        pieces = self.split(text)
-        new = [p for p in dict.fromkeys(pieces) if p not in self]
-        if new:
-            if len(self) + len(new) > CACHED_WORDS:
-                self.clear()
-                new = list(dict.fromkeys(pieces))
-            for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                self[p] = np.array(e.ids, "<u4").tobytes()
-        out = b"".join(map(self.__getitem__, pieces))
-        for p in new:
-            if len(p) > LONG_PIECE:
-                self.pop(p, None)
-        return out
-
-
 class Packer:
     """Packs pieces (document, start, ids as bytes) into windows; see the module's text."""
 
@@ -197,7 +166,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "t
                            *([T.StructField("ids", T.BinaryType())] if with_ids else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, packer, id_type = None, Packer(window, max_open), None
+        encoder, packer, id_type = None, Packer(window, max_open), None
         sequence = TaskContext.get().partitionId() << PARTITION_BITS
 
         def finished() -> pa.RecordBatch:
@@ -218,11 +187,14 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "t
 
         separator = np.array([SEPARATOR], "<u4").tobytes()
         for batch in batches:
-            words = words or WordIds(tokenizer)
+            encoder = encoder or Encoder(tokenizer)
             id_type = batch.schema.field(0).type
-            for name, value in zip(batch.column(0), batch.column(1)):
-                ids = words.encode(value.as_py() or "") + separator
-                packer.add((name.as_py(), len(ids) // 4), ids)
+            names = batch.column(0).to_pylist()
+            for lo, hi, ids, edge in encoder.encoded(batch.column(1)):
+                raw, edge = ids.astype("<u4", copy=False).tobytes(), (4 * edge).tolist()
+                for name, a, b in zip(names[lo:hi], edge, edge[1:]):
+                    own = raw[a:b] + separator
+                    packer.add((name, len(own) // 4), own)
                 if len(packer.done) >= 2000:
                     yield finished()
         packer.close()

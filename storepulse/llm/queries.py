@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import crf_quality, packing, quality_rules, simhash_dedup
-from .frames import ship
+from . import cover_tree, crf_quality, kneser_ney, license_templates, packing, quality_rules, segment_sampling, simhash_dedup, token_scan, url_graph
+from .frames import shared_folder, ship
 
 BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 LEAST_QUALITY = 0.3
 
 
@@ -43,20 +44,65 @@ def op2_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= LEAST_QUALITY).cast("int").alias("predicted"))
 
 
+def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = kneser_ney.train(docs.where(fold() != 1))
+    return kneser_ney.with_score(docs, model, carry=["doc_id"]).withColumn("held_out", fold() == 1)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.judge(docs, quality_rules.fit_on(docs), carry=["doc_id"])
 
 
+def op5_gumbel_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return segment_sampling.sample(docs, public_tokenizers.path(PIECES), with_ids=False)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_token_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("text")
+    folder = shared_folder(spark, "tokens")
+    token_scan.write_token_files(docs, folder, public_tokenizers.path(BPE)).agg(F.sum("n_tokens")).collect()
+    found = token_scan.count_tokens(spark, folder)
+    return found.withColumn("file", F.substring_index("file", "/", -1))
+
+
+def op8_url_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_graph.judge(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op9_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = license_templates.scan(docs, carry=["doc_id"])
+    base = F.filter("places", lambda p: p["base"])
+    labels = lambda places: F.array_join(F.array_sort(F.array_distinct(places["label"])), ",")
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(base["first"]).alias("first_word"),
+        F.array_max(base["first"]).alias("last_word"), labels(base).alias("base_labels"),
+        labels(F.col("places")).alias("labels"), "score")
+
+
+def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_crf_quality": op2_crf_quality,
+    "op3_kneser_ney": op3_kneser_ney,
     "op4_quality_rules": op4_quality_rules,
+    "op5_gumbel_segmentation": op5_gumbel_segmentation,
     "op6_simhash": op6_simhash,
+    "op7_token_scan": op7_token_scan,
+    "op8_url_graph": op8_url_graph,
+    "op9_license_templates": op9_license_templates,
+    "op10_cover_tree": op10_cover_tree,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_url_graph": url_graph.oracle_sql()}

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .components import components
+from .components import Forest, components
 from .frames import checkpointed, map_arrow
 from .textbytes import LOWER, blocks, words
 
@@ -106,26 +106,6 @@ def with_fingerprint(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     return map_arrow(given, one, T.StructType([given.schema["id"], T.StructField("fp", T.LongType())]))
 
 
-class _Forest:
-    """Links within runs of rows with equal keys, merged as they are found."""
-
-    def __init__(self, n: int):
-        self.label = np.arange(n)
-
-    def join(self, i: np.ndarray, j: np.ndarray) -> None:
-        label = self.label
-        while i.size:
-            a, b = label[i], label[j]
-            apart = a != b
-            i, j, a, b = i[apart], j[apart], a[apart], b[apart]
-            np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
-            while True:
-                up = label[label]
-                if np.array_equal(up, label):
-                    break
-                label[:] = up
-
-
 def spanning_links(key: np.ndarray, fp: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """Edges with the components of the links between rows of the same ``key`` (equal keys stand together).
 
@@ -135,7 +115,7 @@ def spanning_links(key: np.ndarray, fp: np.ndarray, radius: int = RADIUS) -> tup
     run = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     size = np.diff(np.r_[run, n])
     ahead = np.repeat(run + size, size) - np.arange(n) - 1  # rows of the run after this one
-    forest, i, d = _Forest(n), np.flatnonzero(ahead > 0), 1
+    forest, i, d = Forest(n), np.flatnonzero(ahead > 0), 1
     while i.size:
         j = i + d
         apart = forest.label[i] != forest.label[j]

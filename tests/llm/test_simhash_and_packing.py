@@ -10,12 +10,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from storepulse.llm import packing, simhash_dedup
+from storepulse.llm import byte_bpe, packing, simhash_dedup
 from storepulse.llm.components import components
 from storepulse.llm.frames import ship
 
@@ -125,12 +126,18 @@ def test_documents(spark):
 
 def test_word_pieces_give_the_tokenizers_ids():
     t = Tokenizer.from_file(TOKENIZER)
-    words = packing.WordIds(TOKENIZER)
+    encoder = byte_bpe.Encoder(TOKENIZER)
     rng = random.Random(8)
-    made = ["".join(rng.choice(["a", "é", " ", "  ", "\n", "'s", "1", "!", "\t", " ", " ", "\x1c", "字", "<|endoftext|>"])
+    made = ["".join(rng.choice(["a", "é", " ", "  ", "\n", "'s", "1", "!", "\t", " ", " ", "\x1c", "字", "<|endoftext|>", "\x85", "\u3000", "×", ".", "It's", "\u2009", "²", "_"])
                     for _ in range(rng.randint(1, 40))) for _ in range(3000)]
-    for text in [x or "" for x in ODD] + made:
-        assert np.frombuffer(words.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+    texts = [x or "" for x in ODD] + made
+    want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    for _ in range(2):  # pieces met before, and not
+        for lo, hi, ids, edge in encoder.encoded(pa.array(texts)):
+            assert [ids[a:b].tolist() for a, b in zip(edge, edge[1:])] == want[lo:hi]
+    byte_bpe.KEPT_PIECES, kept = 50, byte_bpe.KEPT_PIECES
+    assert [encoder.encode(x).tolist() for x in texts[:300]] == want[:300]
+    byte_bpe.KEPT_PIECES = kept
 
 
 @pytest.mark.parametrize("max_open", [4096, 6])
