@@ -43,13 +43,14 @@ RADIUS = 3
 SEED = 42
 BITS = 64
 HOT = 1024
+BLOCK = 1 << 20  # bytes of text at a time: each shingle takes 64 bytes for its bits
 
 
 def fingerprints(column: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
     """The fingerprint of each text, as uint64."""
     out = np.zeros(len(column), np.uint64)
     hashed = xxhash.xxh64_intdigest
-    for lo, hi, data, at in blocks(column):
+    for lo, hi, data, at in blocks(column, BLOCK):
         data = LOWER[data]
         start, end, row = words(data, at)
         if not start.size:
