@@ -18,9 +18,10 @@ itself move nothing and are left out.
 Scale: pages are reduced to hosts and pairs of hosts by partial aggregation
 before any shuffle, so a host with a third of all pages is a row a task; each
 round is one join of hosts with edges (which adaptive execution splits at a host
-with many links) and one sum.  Rounds are written to the checkpoint folder.
+with many links) and one sum.  Every fifth round is written to the checkpoint
+folder; if nothing moved in it, the rest is left out, as it would change nothing.
 The rules are configuration and become part of the expression; nothing of the
-tables is broadcast by hand or collected, but for one number a round.
+tables is broadcast by hand or collected.
 
 Defined results: null urls, and urls without ``://``, have an empty host and
 path, no rule, and count as links' source no more than as a seed: they are
@@ -46,6 +47,7 @@ RULES = (
 )
 DAMPING = 0.85
 ROUNDS = 20
+WRITTEN = 5  # rounds until scores are written and compared with those of the round before
 THRESHOLD = 0.5
 EPSILON = 1e-9  # beyond rounding; ties are allowed
 LINK = r"""[Hh][Rr][Ee][Ff][\t\n\f\r ]*=[\t\n\f\r ]*["']?[\t\n\f\r ]*(?:[Hh][Tt][Tt][Pp][Ss]?:)?//([^/?#"'<>\\\t\n\f\r ]+)"""
@@ -126,17 +128,16 @@ def host_scores(judged: DataFrame, family: bool = True, damping: float = DAMPING
         (F.sum("good") * (1 - damping)).alias("good"), (F.sum("bad") * (1 - damping)).alias("bad"))
     start = checkpointed(start)
     scores = start.select("host", F.col("good").alias("trust"), F.col("bad").alias("distrust"))
-    for _ in range(rounds):
-        given = scores.withColumnRenamed("host", "giver").join(moves, "giver").groupBy("host").agg(
-            (F.sum(F.col("trust") * F.col("t")) * damping).alias("t"), (F.sum(F.col("distrust") * F.col("b")) * damping).alias("b"))
-        zero = F.lit(0.0)
-        after = checkpointed(start.join(given, "host", "left").join(
-            scores.withColumnsRenamed({"trust": "was_t", "distrust": "was_b"}), "host").select(
-            "host", (F.col("good") + F.coalesce("t", zero)).alias("trust"), (F.col("bad") + F.coalesce("b", zero)).alias("distrust"),
-            "was_t", "was_b"))
-        scores = after.select("host", "trust", "distrust")
-        if after.where("trust != was_t OR distrust != was_b").isEmpty():  # nothing moves any more
-            break
+    for k in range(1, rounds + 1):
+        given = scores.withColumnRenamed("host", "giver").join(moves, "giver").select(
+            "host", (F.col("trust") * F.col("t") * damping).alias("trust"), (F.col("distrust") * F.col("b") * damping).alias("distrust"))
+        before, scores = scores, start.select("host", F.col("good").alias("trust"), F.col("bad").alias("distrust")).unionByName(
+            given).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
+        if k % WRITTEN == 0 or k == rounds:
+            both = checkpointed(scores.join(before.withColumnsRenamed({"trust": "was_t", "distrust": "was_b"}), "host"))
+            scores = both.select("host", "trust", "distrust")
+            if both.where("trust != was_t OR distrust != was_b").isEmpty():  # nothing moves any more
+                break
     return scores
 
 
