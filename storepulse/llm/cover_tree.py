@@ -243,3 +243,19 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
         each = each.join(first, "root").select("vec", "n_links", "component_id")
         out = out.unionByName(good.join(each, "vec").select(F.col("id").alias(id_col), "n_links", "component_id"))
     return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
+
+
+def oracle_sql(least: float = LEAST) -> str:
+    """The same rows in DuckDB SQL, by comparing every vector with every other."""
+    return f"""
+WITH RECURSIVE vectors AS (SELECT row_number() OVER () AS k, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    good AS MATERIALIZED (SELECT k, vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM vectors
+        WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0),
+    links AS MATERIALIZED (SELECT a.k AS a, b.k AS b FROM good a JOIN good b ON a.k <> b.k AND len(a.e) = len(b.e)
+        AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= {least}),
+    reach AS (SELECT k, k AS r FROM good UNION SELECT reach.k, b FROM reach JOIN links ON a = r),
+    first AS (SELECT reach.k AS k, min(vec_id) AS component_id FROM reach JOIN good ON good.k = r GROUP BY reach.k),
+    n AS (SELECT a AS k, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, coalesce(component_id, vec_id) AS component_id,
+    vec_id IS NOT DISTINCT FROM coalesce(component_id, vec_id) AS kept
+FROM vectors LEFT JOIN first USING (k) LEFT JOIN n USING (k)"""

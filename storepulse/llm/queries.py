@@ -105,4 +105,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_cover_tree": op10_cover_tree,
 }
 
-ORACLE_SQL: dict[str, str] = {"op8_url_graph": url_graph.oracle_sql()}
+ORACLE_SQL: dict[str, str] = {"op8_url_graph": url_graph.oracle_sql(), "op10_cover_tree": cover_tree.oracle_sql()}

@@ -5,10 +5,11 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 
-from storepulse.llm import cover_tree
+from storepulse.llm import cover_tree, queries
 from storepulse.llm.frames import ship
 
 
@@ -80,3 +81,11 @@ def test_empty_tables(spark):
     assert cover_tree.near_vectors(empty).count() == 0
     bad = spark.createDataFrame([(1, None), (1, [0.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in cover_tree.near_vectors(bad).collect()] == [(1, 0, 1, True)] * 2
+
+
+def test_sql_matches(spark):
+    got = queries.op10_cover_tree(spark, "/root/testdata/sf0.01")
+    db = duckdb.connect()
+    db.execute("CREATE VIEW embeddings AS SELECT * FROM read_parquet('/root/testdata/sf0.01/embeddings.parquet')")
+    want = db.execute(f"SELECT {', '.join(got.columns)} FROM ({queries.ORACLE_SQL['op10_cover_tree']})").fetchall()
+    assert Counter(tuple(r) for r in got.collect()) == Counter(want)
