@@ -49,7 +49,7 @@ from .textbytes import LOWER, blocks, hashes, mixed, words
 
 END = np.uint64(0x0E4D)
 START = np.uint64(0x57A7)
-FLUSH = 5_000_000  # tokens gathered before they are merged and sent
+FLUSH = 3_000_000  # tokens gathered before they are merged and sent
 BUCKET = 2_000_000  # tokens a bucket is made for
 MAX_BITS = 16  # of a bucket's number; beyond that, buckets grow
 HOT_OF_BUCKET = 64  # words a bucket names as frequent
@@ -345,7 +345,7 @@ def with_score(docs: DataFrame, model: Model, text: str = "text", carry: list[st
         n_tokens, n_known = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
         base, score = np.zeros(len(texts)), np.zeros(len(texts))
         total = np.log10(model.n + 0.5 * (model.v + 1))
-        for lo, hi, data, at in blocks(texts, 16 << 20):
+        for lo, hi, data, at in blocks(texts, 8 << 20):
             h, before, row = tokens(data, at)
             p, count = model.log10(h, before)
             n_tokens[lo:hi] = np.bincount(row, minlength=hi - lo)
