@@ -32,15 +32,13 @@ def _last_year_side(df: DataFrame, shifted: bool) -> DataFrame:
     )
 
 
-def compare_last_year(ty: DataFrame, last_year: DataFrame | None = None, own_calendar: DataFrame | None = None) -> DataFrame:
-    """G1 over J1 (``last_year is None``: match on ``ly_date``) or J2.
+def compare_last_year(ty: DataFrame, last_year: DataFrame | None = None) -> DataFrame:
+    """G1 over J1 (``last_year is None``: self match on ``ly_date``) or J2.
 
-    ``own_calendar``: the frame whose dates J1's ``ly_date`` is looked up in, if
-    not ``ty`` itself (both may be cut to the dates that are needed).
     Returns the nine keys of the this-year row and 48 clamped percent changes.
     """
     shifted = last_year is not None
-    ly = _last_year_side(last_year if shifted else ty if own_calendar is None else own_calendar, shifted)
+    ly = _last_year_side(last_year if shifted else ty, shifted)
     this_date = F.col("report_date") if shifted else F.col("ly_date")
     joined = ty.join(
         ly,
@@ -52,3 +50,18 @@ def compare_last_year(ty: DataFrame, last_year: DataFrame | None = None, own_cal
         *M.COMPARE_KEY_COLUMNS,
         *[growth(c, f"_ly_{c}", schema[c]).alias(c) for c in M.COMPARED_MEASURES],
     )
+
+
+def compare_tagged(ty: DataFrame, prior: DataFrame, tags: tuple[str, ...]) -> DataFrame:
+    """G1 for frames stacked with tag columns: rows meet where all tags and the segment are equal.
+
+    One of the tags is the date to meet on.  Returns the tags, the date, level
+    and segment of the this-year row and 48 clamped percent changes.
+    """
+    ly = prior.selectExpr(*[f"{t} AS _ly{t}" for t in tags], "segment AS _ly_key_segment",
+                          *[f"`{c}` AS `_ly_{c}`" for c in M.COMPARED_MEASURES])
+    same = [F.col(t) == F.col(f"_ly{t}") for t in tags]
+    joined = ty.join(ly, [*same, F.col("segment") == F.col("_ly_key_segment")], "left")
+    schema = {f.name: f.dataType for f in ty.schema.fields}
+    return joined.select(*tags, "report_date", "filter_level", "segment",
+                         *[growth(c, f"_ly_{c}", schema[c]).alias(c) for c in M.COMPARED_MEASURES])

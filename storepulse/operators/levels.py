@@ -113,3 +113,20 @@ def full_union(df: DataFrame, period: str, comp: bool = False) -> DataFrame:
     cols = frame_columns(period)
     stacked = df.select(*cols).unionByName(rollup_levels(df, period, comp).select(*cols))
     return stacked.select(*cols, *kpi_columns())
+
+
+def tagged_union(df: DataFrame, tags: tuple[str, ...], masked: str) -> DataFrame:
+    """U1 for several frames at once, told apart by the columns ``tags``.
+
+    One grouping and one KPI projection serve all of them.  Where the boolean
+    column ``masked`` (one of the tags) is true, the rollup sums count only rows
+    whose store was open on ``ly_date`` (A9).
+    """
+    keys = [*tags, "report_date", "ly_date"]
+    counted = f"NOT {masked} OR {COMP_INCLUDED}"
+    exploded = df.select(*keys, "store_open_date", *M.ADDITIVE_MEASURES, F.explode(level_tags()).alias("lvl"))
+    rolled = exploded.groupBy(
+        *keys, F.col("lvl.filter_level").alias("filter_level"), F.col("lvl.segment").alias("segment"),
+    ).agg(*[F.expr(f"sum(CASE WHEN {counted} THEN `{c}` ELSE 0 END)").alias(c) for c in M.ADDITIVE_MEASURES])
+    cols = [*keys, "filter_level", "segment", *M.ADDITIVE_MEASURES]
+    return df.select(*cols).unionByName(rolled.select(*cols)).select(*cols, *kpi_columns())

@@ -59,10 +59,12 @@ def transpose(df: DataFrame, value_column: str, as_of: Column) -> DataFrame:
     return recent.select(*LONG_KEYS, F.inline(catalogue_rows(value_column)))
 
 
-def _packed(df: DataFrame, source: int, value_column: str) -> DataFrame:
+def pack(df: DataFrame, source: int | Column, value_column: str) -> DataFrame:
+    """(date, level, segment, source number, 48 values) of a wide frame, cast as ``value_column`` is."""
     vt = value_type(value_column)
     values = F.array(*[F.col(c).cast(vt).cast(TRANSPOSED_TY) for _, c, _, _ in M.CATALOGUE])
-    return df.select(*LONG_KEYS, F.lit(source).alias("_src"), values.alias("_values"))
+    number = source if isinstance(source, Column) else F.lit(source)
+    return df.select(*LONG_KEYS, number.alias("_src"), values.alias("_values"))
 
 
 def _combined(rows: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
@@ -95,11 +97,16 @@ def _products(rows: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
 
 def combine(frames: dict[str, DataFrame], as_of: Column) -> DataFrame:
     """J4 + T1 for all frames: {value column name: wide report} -> long table."""
-    names, keys = list(frames), list(LONG_KEYS)
     packed = reduce(
         DataFrame.unionByName,
-        [_packed(since(df, as_of, M.ROLLING_WINDOW_DAYS), i, n) for i, (n, df) in enumerate(frames.items())],
+        [pack(since(df, as_of, M.ROLLING_WINDOW_DAYS), i, n) for i, (n, df) in enumerate(frames.items())],
     )
+    return combine_packed(packed, list(frames))
+
+
+def combine_packed(packed: DataFrame, names: list[str]) -> DataFrame:
+    """J4 + T1 of ``pack``ed frames; source i becomes the value column ``names[i]``."""
+    keys = list(LONG_KEYS)
     null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     whole = packed.where(~null_key).repartition(*keys)  # one exchange for the groupings below
     grouped = _combined(whole, keys, names)

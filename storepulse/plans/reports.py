@@ -22,6 +22,7 @@ import os
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,17 +31,18 @@ from pyspark.sql import functions as F
 from .. import metrics as M
 from .. import schemas
 from ..checks import ly_date_offsets
-from ..operators.compare import compare_last_year
+from ..operators.compare import compare_last_year, compare_tagged
 from ..operators.filters import since
-from ..operators.levels import full_union
+from ..operators.levels import full_union, tagged_union
 from ..operators.lookup import prepare_lookup, with_open_date
 from ..operators.periods import past_year_slice, period_to_date
-from ..operators.transpose import combine
+from ..operators.transpose import combine, combine_packed, pack
 from ..sinks.writer import write_report
 
 # Periods whose last-year match is the row's own ly_date (J1); the others use
 # the prior year re-accumulated on the shifted calendar.
 SELF_MATCHED = ("daily", "week")
+TAGS = ("_period", "_comp", "_match")  # of a frame, and the date on which its rows meet last year's
 
 
 def table_name(period: str, view: str) -> str:
@@ -144,32 +146,42 @@ class Reports:
         the days these are compared with.  The base is cut to the dates that
         the running sums of both need, after checking that every ``ly_date``
         is ``report_date - 364``; otherwise nothing but the shown days is cut.
+
+        The eight this-year frames (four periods, with and without the comp
+        mask) are one frame with tag columns, and so are the eight they are
+        compared with: one rollup and one KPI projection for each side, one join.
         """
-        return combine(self.recent_frames(), self.as_of)
-
-    def recent_frames(self) -> dict[str, DataFrame]:
-        """The twelve wide reports, {value column: frame}, for the days of the long table."""
-        base, days, exact = self.base, M.ROLLING_WINDOW_DAYS, ly_date_offsets(self.base) == 0
-        if exact:
-            base = base.filter(F.col("report_date") >= combined_first_date(self.as_of))
-        back = days + M.LY_SHIFT_DAYS
-        frames: dict[str, DataFrame] = {}
+        exact = ly_date_offsets(self.base) == 0
+        base = self.base.filter(F.col("report_date") >= combined_first_date(self.as_of)) if exact else self.base
+        days = M.ROLLING_WINDOW_DAYS
+        now, last = [], []
         for p in M.PERIODS:
             every = store_frame(base, p)
-            now = since(every, self.as_of, days)
-            if p in SELF_MATCHED:
-                last = since(every, self.as_of, back) if exact else every  # no upper end: rows after as_of are shown
+            now.append(self._tagged(since(every, self.as_of, days), p, "report_date" if p not in SELF_MATCHED else "ly_date"))
+            if p in SELF_MATCHED:  # no upper end: rows after as_of are shown
+                past = since(every, self.as_of, days + M.LY_SHIFT_DAYS) if exact else every
+                last.append(self._tagged(past, p, "report_date"))
             else:
-                last = since(shifted_store_frame(base, p, self.as_of), self.as_of, back)
-            tag = M.PERIOD_TAG[p]
-            for view, comp in (("ly", False), ("comp", True)):
-                cur = full_union(self.with_open(now) if comp else now, p, comp)
-                past = full_union(self.with_open(last) if comp else last, p, comp)
-                if not comp:
-                    frames[f"{tag}_ty"] = cur
-                frames[f"{tag}_{view}"] = (compare_last_year(cur, own_calendar=past) if p in SELF_MATCHED
-                                           else compare_last_year(cur, past))
-        return frames
+                past = since(shifted_store_frame(base, p, self.as_of), self.as_of, days + M.LY_SHIFT_DAYS)
+                last.append(self._tagged(past, p, f"date_add(report_date, {M.LY_SHIFT_DAYS})"))
+        wide, prior = (tagged_union(self._both_masks(reduce(DataFrame.unionByName, x)), TAGS, "_comp") for x in (now, last))
+        changes = compare_tagged(wide, prior, TAGS)
+        names = list(schemas.VALUE_COLUMNS)
+        number = lambda view: reduce(
+            lambda rest, p: F.when(F.col("_period") == p, names.index(f"{M.PERIOD_TAG[p]}_{view}")).otherwise(rest),
+            M.PERIODS, F.lit(None).cast("int"))
+        packed = pack(wide.where("NOT _comp"), number("ty"), names[0]).unionByName(
+            pack(changes, F.when(F.col("_comp"), number("comp")).otherwise(number("ly")), names[1]))
+        return combine_packed(packed, names)
+
+    def _tagged(self, stores: DataFrame, period: str, match: str) -> DataFrame:
+        columns = [*M.KEY_COLUMNS, *M.ADDITIVE_MEASURES]
+        opened = self.with_open(stores.select(*columns))
+        return opened.select(*columns, "store_open_date", F.lit(period).alias("_period"), F.expr(match).alias("_match"))
+
+    @staticmethod
+    def _both_masks(stores: DataFrame) -> DataFrame:
+        return stores.withColumn("_comp", F.explode(F.array(F.lit(False), F.lit(True))))
 
 
 def combined_first_date(as_of: Column) -> Column:
