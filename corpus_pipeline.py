@@ -25,8 +25,12 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line model finds good; it learns from the labels of this stage's documents."""
-    return crf_quality.keep(docs, quality_model(docs, spark, sf_dir), LEAST_QUALITY)
+    """Documents that the line model finds good.
+
+    It learns from the labelled rows of ``documents``: what the rules left has hardly a bad one to learn from.
+    """
+    model = quality_model(table(spark, sf_dir, "documents"), spark, sf_dir)
+    return crf_quality.keep(docs, model, LEAST_QUALITY)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,7 +36,8 @@ def test_stages_match_plain_python(spark, docs):
     stage = corpus_pipeline.quality_rules_stage(spark, docs, SF)
     assert {r["doc_id"] for r in stage.collect()} == set(kept)
 
-    crf = queries.quality_model(stage, spark, SF)
+    crf = queries.quality_model(docs, spark, SF)
+    assert crf.weights is not None
     kept = {i: t for i, t in kept.items() if crf.score(pa.array([t]))[0] >= queries.LEAST_QUALITY}
     stage = corpus_pipeline.quality_classifier_stage(spark, stage, SF)
     assert {r["doc_id"] for r in stage.collect()} == set(kept)
