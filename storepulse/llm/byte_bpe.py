@@ -24,6 +24,7 @@ from .textbytes import blocks, hashes
 
 KEPT_PIECES = 1_000_000
 KEPT_IDS = 16_000_000
+AT_ONCE = 20_000  # pieces the tokenizer is given at once: what it returns for each takes about 1 KB
 BLOCK = 4 << 20
 
 _LETTER = np.zeros(256, bool)
@@ -74,9 +75,12 @@ class Encoder:
         self.ids = np.zeros(0, np.uint32)
 
     def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        size = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter((i for ids in got for i in ids), np.uint32, int(size.sum()))
+        sizes, flats = [], []
+        for k in range(0, len(pieces), AT_ONCE):
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces[k:k + AT_ONCE], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, got), np.int64, len(got)))
+            flats.append(np.fromiter((i for ids in got for i in ids), np.uint32, int(sizes[-1].sum())))
+        size, flat = np.concatenate(sizes), np.concatenate(flats)
         self.first = np.r_[self.first, self.ids.size + np.cumsum(size) - size]
         self.size = np.r_[self.size, size]
         self.ids = np.r_[self.ids, flat]

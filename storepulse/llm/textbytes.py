@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 LONG_WORD = 64  # bytes; longer spans are hashed one by one
 
 _K1 = np.uint64(0x9E3779B97F4A7C15)
