@@ -235,29 +235,35 @@ def _period_job(base: DataFrame, lk: DataFrame, period: str, day: Column, save)
             df.unpersist()
 
 
-def run_job(spark: SparkSession, base: DataFrame, lookup: DataFrame, out_root: str,
+def run_job(spark: SparkSession, base: DataFrame, lookup: DataFrame, out_root: str | None = None,
             as_of: str | _dt.date | Column | None = None, periods: tuple[str, ...] = M.PERIODS,
-            timings: dict[str, float] | None = None, parallel: int = 4) -> dict[str, str]:
-    """Compute and write all thirteen reports under ``out_root``.
+            timings: dict[str, float] | None = None, parallel: int = 4, database: str | None = None) -> dict[str, str]:
+    """Compute and write all thirteen reports, as Parquet under ``out_root`` or as tables of ``database``.
 
-    Returns {table name: path}.  The four periods are independent until the
+    Returns {table name: path or qualified table name}.  The four periods are independent until the
     long report, so their jobs are submitted from ``parallel`` driver threads
     (Spark schedules concurrent jobs; on a cluster this keeps executors busy
     while one period waits on a small stage).  The long report is built from
     the written tables.  ``timings`` (if given) receives each table's write
     wall time.
     """
+    if (out_root is None) == (database is None):
+        raise ValueError("name either a folder or a database for the reports")
     day = date_literal(as_of)
     lk = prepare_lookup(lookup)
     paths: dict[str, str] = {}
+    stored = spark.read.parquet if database is None else spark.table
 
     def save(df: DataFrame, contract, name: str) -> None:
-        path = os.path.join(out_root, name)
         start = time.perf_counter()
-        write_report(df, contract, path=path)
+        if database is None:
+            paths[name] = os.path.join(out_root, name)
+            write_report(df, contract, path=paths[name])
+        else:
+            paths[name] = f"{database}.{name}"
+            write_report(df, contract, table=paths[name])
         if timings is not None:
             timings[name] = round(time.perf_counter() - start, 3)
-        paths[name] = path
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         for f in [pool.submit(_period_job, base, lk, p, day, save) for p in periods]:
@@ -265,7 +271,7 @@ def run_job(spark: SparkSession, base: DataFrame, lookup: DataFrame, out_root: s
 
     if set(periods) == set(M.PERIODS):  # the long table needs all twelve frames
         frames = {
-            f"{M.PERIOD_TAG[p]}_{v}": spark.read.parquet(paths[table_name(p, v)])
+            f"{M.PERIOD_TAG[p]}_{v}": stored(paths[table_name(p, v)])
             for p in M.PERIODS for v in ("ty", "ly", "comp")
         }
         save(combine(frames, day), schemas.TRANSPOSED, COMBINED_TABLE)

@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
     s = local_session("*", app="storepulse-tests", extra={
         "spark.sql.shuffle.partitions": "8",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
     })
     yield s
     s.stop()

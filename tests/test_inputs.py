@@ -76,3 +76,18 @@ def test_run_job_leaves_the_callers_cache(spark, base, make_lookup, tmp_path):
     run_job(spark, base, make_lookup([(1, 101, None)]), str(tmp_path), as_of="2024-03-10", periods=("daily",))
     assert base.storageLevel.useMemory
     base.unpersist()
+
+
+def test_run_job_writes_tables_and_refreshes_them(spark, make_base, make_lookup):
+    spark.sql("CREATE DATABASE IF NOT EXISTS reports")
+    lookup = make_lookup([(1, 101, None)])
+    for sales in (5, 7):  # the second run replaces the first one's rows
+        base = make_base([base_row("2024-03-04", "A", total_sales_amt=sales)])
+        names = run_job(spark, base, lookup, database="reports", as_of="2024-03-10", periods=("daily",))
+        assert names["daily_report"] == "reports.daily_report"
+        got = spark.table("reports.daily_report")
+        assert got.schema == schemas.ty_contract("daily")
+        assert {int(r["total_sales_amt"]) for r in got.where("segment = 'A'").collect()} <= {sales}
+        assert {int(r["total_sales_amt"]) for r in got.where("segment = 'Total'").collect()} == {sales}
+    with pytest.raises(ValueError, match="either a folder or a database"):
+        run_job(spark, base, lookup)
