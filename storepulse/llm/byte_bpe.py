@@ -4,7 +4,7 @@ Byte-level BPE first cuts a text into pre-tokens and never merges across them,
 so the pieces between certain pre-token edges can be encoded one by one, and
 each different piece only once for a task.  Such edges here: before a single
 space between two other characters, and between a letter and a punctuation
-mark other than an apostrophe.  Where the bytes around leave any doubt (rare
+mark other than an apostrophe, outside of the strings of special tokens.  Where the bytes around leave any doubt (rare
 kinds of white space share their first byte with other characters) there is no
 cut, and the piece is longer.
 
@@ -39,8 +39,8 @@ _DOUBT = np.zeros(256, bool)  # first bytes of characters that may be white spac
 _DOUBT[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 
-def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where pieces start: at each row's start, and at sure pre-token edges."""
+def piece_starts(data: np.ndarray, offsets: np.ndarray, whole: list[tuple[int, int]] = ()) -> np.ndarray:
+    """Where pieces start: at each row's start, and at sure pre-token edges outside of the ranges ``whole``."""
     n = data.size
     start = np.zeros(n + 1, bool)
     if n:
@@ -53,6 +53,8 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         latin[1:] = (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
         start[1:n] = (_LETTER[data] | latin)[:-1] & _MARK[data[1:]]
         start[1:n - 1] |= solid[:-2] & (data[1:-1] == 32) & solid[2:]
+        for lo, hi in whole:
+            start[lo:hi] = False
         start[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
     return np.flatnonzero(start[:n])
 
@@ -67,6 +69,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not specials
+        added = self.tokenizer.get_added_tokens_decoder().values() if specials else ()
+        self.whole = [t.content.encode() for t in added]  # strings that are never cut
         self._forget()
 
     def _forget(self) -> None:
@@ -89,10 +93,21 @@ class Encoder:
         order = np.argsort(keys)
         self.keys, self.slots = keys[order], slots[order]
 
+    def _inside(self, raw: bytes) -> list[tuple[int, int]]:
+        """Byte ranges within special tokens' strings, after their first byte."""
+        found = []
+        for token in self.whole:
+            i = raw.find(token)
+            while i >= 0:
+                found.append((i + 1, i + len(token)))
+                i = raw.find(token, i + len(token))
+        return found
+
     def encoded(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(first row, end row, ids, offsets of each row's ids) of each block of a column; null is empty."""
         for lo, hi, data, at in blocks(column, BLOCK):
-            start = piece_starts(data, at)
+            raw = data.tobytes()
+            start = piece_starts(data, at, self._inside(raw))
             end = np.r_[start[1:], data.size].astype(np.int64)
             if start.size:
                 key, one, of = np.unique(hashes(data, start, end), return_index=True, return_inverse=True)
@@ -101,7 +116,6 @@ class Encoder:
                 k = np.minimum(np.searchsorted(self.keys, key), max(self.keys.size - 1, 0))
                 new = self.keys[k] != key if self.keys.size else np.ones(key.size, bool)
                 if new.any():
-                    raw = data.tobytes()
                     self._learn(key[new], [raw[start[i]:end[i]].decode("utf-8", "replace") for i in one[new]])
                     k = np.searchsorted(self.keys, key)
                 slot = self.slots[k][of]
