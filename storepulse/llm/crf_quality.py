@@ -6,10 +6,12 @@ transition matrix ties neighbouring labels.  Forward-backward gives each line's
 probability of being good, and the mean of these, weighted by the lines'
 lengths in words, is the document's score.
 
-Training takes a bounded sample (``TRAIN_DOCS`` documents a class, ``TRAIN_LINES``
-lines of each), the labelled documents with the smallest hash of their id; each
-line bears its document's label and the classes are weighted back to their
-shares among all labelled rows.  Scoring is one Arrow pass over whole texts.
+Training takes all lines of a bounded sample of documents (``TRAIN_DOCS`` a class),
+the labelled ones with the smallest hash of their id; each line bears its
+document's label and the classes are weighted back to their shares among all
+labelled rows.  Up to ``DRIVER_LINES`` lines are fitted on the driver; of more, each
+round sums the gradients of whole chains in Spark tasks, and only these sums
+reach the driver.  Scoring is one Arrow pass over whole texts.
 
 Defined results: null and empty texts, and texts without a word, score the
 share of good documents among the labelled ones (0.5 without labels); rows are
@@ -19,18 +21,21 @@ both classes among the labels every text scores that share.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import map_arrow, without
+from .frames import checkpointed, map_arrow, without
 from .quality_rules import _DIGIT, _LETTER, _STOP, _SYMBOL, _UPPER
 from .textbytes import blocks, hashes, lines, words
 
 TRAIN_DOCS = 1000
-TRAIN_LINES = 64
+DRIVER_LINES = 1 << 17  # more lines are fitted in Spark tasks
+SEGMENT = 64  # lines of a chain that are stepped through; longer chains are joined from such segments
 OWN = 14  # features of a line by itself
 WIDE = 3 * OWN + 2  # with both neighbours', and whether there are any
 
@@ -99,44 +104,85 @@ def with_neighbours(x: np.ndarray, row: np.ndarray) -> np.ndarray:
     return out
 
 
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of 2 x 2 matrices of logs, each up to a factor."""
+    c = np.logaddexp(a[:, :, :1] + b[:, :1, :], a[:, :, 1:] + b[:, 1:, :])
+    return c - c.max((1, 2), keepdims=True)
+
+
+def _running(matrix: np.ndarray, place: np.ndarray, back: bool = False) -> np.ndarray:
+    """Product of each matrix with all before it in its chain, by doubling; ``place``: how many these are.
+
+    ``back``: the arrays run from the chains' ends, so the factors change sides.
+    """
+    out, d = matrix, 1
+    while d <= place.max(initial=0):
+        at = np.flatnonzero(place >= d)
+        more = out.copy()
+        more[at] = _times(out[at], out[at - d]) if back else _times(out[at - d], out[at])
+        out, d = more, 2 * d
+    return out
+
+
 def marginals(score: np.ndarray, move: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Forward-backward over many chains at once.
 
     ``score``: (lines, 2) log potentials; ``move``: (2, 2) of transitions;
-    chain i has lines first[i] to first[i] + size[i].  Returns each line's
-    label probabilities, and the expected transition counts of each chain.
+    chain i has lines first[i] to first[i] + size[i], and is not empty.  Returns each
+    line's label probabilities, and the expected transition counts of each chain.
     """
-    order = np.argsort(-size, kind="stable")
-    first, size = first[order], size[order]
-    longest = int(size[0]) if size.size else 0
-    alive = [int(np.searchsorted(-size, -t, "left")) for t in range(longest)]  # chains longer than t
+    parts = -(-size // SEGMENT)  # segments of each chain, in order
+    chain = np.repeat(np.arange(size.size), parts)
+    place = np.arange(chain.size) - np.repeat(np.cumsum(parts) - parts, parts)
+    start = first[chain] + place * SEGMENT
+    length = np.minimum(size[chain] - place * SEGMENT, SEGMENT)
+    order = np.argsort(-length, kind="stable")
+    longest = int(length.max(initial=0))
+    alive = [order[:int(np.searchsorted(-length[order], -t, "left"))] for t in range(longest)]  # segments longer than t
+    come, leave = np.zeros((chain.size, 2)), np.zeros((chain.size, 2))  # log sums before and after each segment
+    if (several := parts[chain] > 1).any():
+        # each segment's matrix from the label before it to its last one
+        whole = np.zeros((chain.size, 2, 2))
+        for t in range(longest):
+            on = alive[t][several[alive[t]]]
+            into = score[start[on] + t][:, None, :]
+            if t:
+                before = whole[on]
+                into = into + np.logaddexp(before[:, :, :1] + move[0], before[:, :, 1:] + move[1])
+            else:
+                into = into + np.where((place[on] > 0)[:, None, None], move, 0.0)
+            whole[on] = into - into.max((1, 2), keepdims=True)
+        on = np.flatnonzero(several)
+        ahead = _running(whole[on], place[on])[:, 0]
+        later = np.flatnonzero(place[on] > 0)
+        come[on[later]] = ahead[later - 1]
+        behind = _running(whole[on][::-1], (parts[chain] - 1 - place)[on][::-1], back=True)[::-1]
+        leave[on[later - 1]] = np.logaddexp(behind[later][:, :, 0], behind[later][:, :, 1])
     alpha, beta = np.empty_like(score), np.empty_like(score)
-    for t, n in enumerate(alive):
-        at = first[:n] + t
-        if t:
-            before = alpha[at - 1]
-            into = np.logaddexp(before[:, :1] + move[0], before[:, 1:] + move[1])
-            alpha[at] = into + score[at]
-        else:
-            alpha[at] = score[at]
+    for t, on in enumerate(alive):
+        at = start[on] + t
+        before = alpha[at - 1] if t else come[on]
+        into = np.logaddexp(before[:, :1] + move[0], before[:, 1:] + move[1])
+        if not t:
+            into[place[on] == 0] = 0
+        alpha[at] = into + score[at]
         alpha[at] -= alpha[at].max(1, keepdims=True)  # keeps sums small; marginals are normalised below
-    for t in range(longest - 1, -1, -1):
-        at = first[:alive[t]] + t
-        beta[at] = 0
-        if t + 1 < longest and (m := alive[t + 1]):
-            on = beta[at[:m] + 1] + score[at[:m] + 1]
-            b = np.logaddexp(move[:, 0] + on[:, :1], move[:, 1] + on[:, 1:])
-            beta[at[:m]] = b - b.max(1, keepdims=True)
+    beta[start + length - 1] = leave
+    for t in range(longest - 2, -1, -1):
+        at = start[alive[t + 1]] + t
+        on = beta[at + 1] + score[at + 1]
+        b = np.logaddexp(move[:, 0] + on[:, :1], move[:, 1] + on[:, 1:])
+        beta[at] = b - b.max(1, keepdims=True)
     g = alpha + beta
     p = np.exp(g - np.logaddexp(g[:, :1], g[:, 1:]))
-    moves = np.zeros((size.size, 2, 2))
-    for t in range(longest - 1):
-        m = alive[t + 1]
-        at = first[:m] + t
-        e = alpha[at][:, :, None] + move + (beta[at + 1] + score[at + 1])[:, None, :]
-        e = np.exp(e - e.max((1, 2), keepdims=True))
-        moves[order[:m]] += e / e.sum((1, 2), keepdims=True)
-    return p, moves
+    owner = np.repeat(np.arange(size.size), size)
+    at = np.arange(owner.size) - np.repeat(np.cumsum(size) - size, size)
+    at, owner = (np.repeat(first, size) + at)[at > 0], owner[at > 0]  # lines after another one
+    e = alpha[at - 1][:, :, None] + move + (beta[at] + score[at])[:, None, :]
+    e = np.exp(e - e.max((1, 2), keepdims=True))
+    e /= e.sum((1, 2), keepdims=True)
+    moves = np.stack([np.bincount(owner, e[:, i, j], size.size) for i in (0, 1) for j in (0, 1)], 1)
+    return p, moves.reshape(-1, 2, 2)
 
 
 class Crf:
@@ -169,40 +215,80 @@ class Crf:
         return marginals(score, self.move, first, np.diff(np.r_[first, row.size]))[0][:, 1]
 
 
-def train(chains: list[tuple[int, np.ndarray]], share: float, rounds: int = 150, ridge: float = 1e-3) -> Crf:
-    """Fit on (label, line features) chains by Adam on the conditional log-likelihood.
+def gradient(params: np.ndarray, x: np.ndarray, size: np.ndarray, labels: np.ndarray, by_class: np.ndarray) -> np.ndarray:
+    """Of the conditional log-likelihood, summed over whole chains; ``x``: their lines with neighbours.
 
-    ``share``: of good documents among all labelled ones.  Chains are weighted
-    so that the two classes have these shares; each chain counts the same.
+    ``by_class``: weight of a chain of each label; each line or transition has its chain's over the chain's size.
     """
-    labels = np.array([y for y, _ in chains])
-    if not len(chains) or labels.min() == labels.max():
-        return Crf(None, None, share)
-    size = np.array([len(x) for _, x in chains])
-    row = np.repeat(np.arange(size.size), size)
-    x = with_neighbours(np.concatenate([x for _, x in chains]), row)
-    first = np.r_[0, np.cumsum(size)[:-1]]
-    y = np.repeat(labels, size).astype(float)
-    by_class = np.where(labels == 1, share / (labels == 1).sum(), (1 - share) / (labels == 0).sum())
-    weight = np.repeat(by_class / size, size)
+    move = params[WIDE:].reshape(2, 2)
+    z = x @ params[:WIDE].astype(np.float32)
+    p, moves = marginals(np.stack([np.zeros_like(z), z], 1).astype(float), move, np.cumsum(size) - size, size)
+    own = by_class[labels] / size
     seen = np.zeros((size.size, 2, 2))
     seen[np.arange(size.size), labels, labels] = size - 1
+    miss = np.repeat(own, size) * (np.repeat(labels, size) - p[:, 1])
+    return np.r_[x.T @ miss, ((seen - moves) * own[:, None, None]).sum(0).ravel()]
+
+
+def ascend(slope: Callable[[np.ndarray], np.ndarray], share: float, rounds: int = 150, ridge: float = 1e-3) -> Crf:
+    """Fit by Adam; ``slope``: the gradient at given parameters."""
     params = np.zeros(WIDE + 4)
     m, v = np.zeros_like(params), np.zeros_like(params)
     for step in range(1, rounds + 1):
-        move = params[WIDE:].reshape(2, 2)
-        z = x @ params[:WIDE].astype(np.float32)
-        p, moves = marginals(np.stack([np.zeros_like(z), z], 1).astype(float), move, first, size)
-        grad = np.r_[x.T @ (weight * (y - p[:, 1])), ((seen - moves) * (by_class / size)[:, None, None]).sum(0).ravel()]
-        grad -= ridge * params
+        grad = slope(params) - ridge * params
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad ** 2
         params = params + 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
     return Crf(params[:WIDE].astype(np.float32), params[WIDE:].reshape(2, 2), share)
 
 
+def wide_chains(features: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(features with neighbours, size) of chains of line features."""
+    size = np.array([len(x) for x in features])
+    return with_neighbours(np.concatenate(features), np.repeat(np.arange(size.size), size)), size
+
+
+def train(chains: list[tuple[int, np.ndarray]], share: float, rounds: int = 150, ridge: float = 1e-3) -> Crf:
+    """Fit on (label, line features) chains by Adam on the conditional log-likelihood.
+
+    ``share``: of good documents among all labelled ones.  Chains are weighted
+    so that the two classes have these shares; each chain counts the same.
+    """
+    labels = np.array([y for y, _ in chains])
+    if not len(chains) or labels.min() == labels.max():
+        return Crf(None, None, share)
+    x, size = wide_chains([x for _, x in chains])
+    by_class = np.array([1 - share, share]) / np.bincount(labels)
+    return ascend(lambda params: gradient(params, x, size, labels, by_class), share, rounds, ridge)
+
+
+def train_in_tasks(chains: DataFrame, by_class: np.ndarray, share: float) -> Crf:
+    """Fit on (label, features) rows, each round in one pass of Spark tasks; a row for each task reaches the driver."""
+
+    def slope(params: np.ndarray) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros_like(params)
+            for batch in batches:
+                labels, features = batch.column(0).to_numpy(), [_features(f.as_buffer()) for f in batch.column(1)]
+                edge = np.cumsum([0, *map(len, features)])
+                lo = 0
+                while lo < len(features):  # so many chains at a time, or one
+                    hi = max(lo + 1, int(np.searchsorted(edge, edge[lo] + DRIVER_LINES, "right")) - 1)
+                    total += gradient(params, *wide_chains(features[lo:hi]), labels[lo:hi], by_class)
+                    lo = hi
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["grad"])
+
+        return np.sum([r["grad"] for r in chains.mapInArrow(run, "grad array<double>").collect()], axis=0)
+
+    return ascend(slope, share)
+
+
+def _features(raw) -> np.ndarray:
+    return np.frombuffer(raw, np.float32).reshape(-1, OWN)
+
+
 def training_chains(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
                     text: str = "text", per_class: int = TRAIN_DOCS) -> DataFrame:
-    """(label, features): line features of the sampled documents; ``labels`` are those that may be learned from."""
+    """(label, features): features of all lines of the sampled documents; ``labels`` are those that may be learned from."""
     known = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("label"))
     known = known.where("__id IS NOT NULL AND label IN (0, 1)").dropDuplicates()
     sample = None
@@ -212,26 +298,36 @@ def training_chains(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     both = docs.select(F.col(id_col).alias("__id"), F.col(text).cast("string").alias("text")).join(
         F.broadcast(sample), "__id")  # 2 * per_class rows at most
 
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = []
-        for _, _, data, at in blocks(batch.column(0)):
-            x, _, row = line_features(data, at)
-            edge = np.searchsorted(row, np.arange(len(at)))
-            out += [x[a:min(b, a + TRAIN_LINES)].tobytes() for a, b in zip(edge[:-1], edge[1:])]
-        return pa.RecordBatch.from_arrays([batch.column(1), pa.array(out, pa.binary())], ["label", "features"])
-
-    return map_arrow(both.select("text", "label"), one, T.StructType(
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, at in blocks(batch.column(0)):
+                x, _, row = line_features(data, at)
+                edge = np.searchsorted(row, np.arange(len(at)))
+                out = [x[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])]
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo), pa.array(out, pa.binary())],
+                                                 ["label", "features"])
+
+    return both.select("text", "label").mapInArrow(run, T.StructType(
         [T.StructField("label", T.IntegerType()), T.StructField("features", T.BinaryType())]))
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
-           text: str = "text", per_class: int = TRAIN_DOCS) -> Crf:
-    """Learn from ``labels`` rows found in ``docs``; at most 2 * per_class * TRAIN_LINES lines reach the driver."""
-    got = training_chains(docs, labels, id_col, label_col, text, per_class).collect()
+           text: str = "text", per_class: int = TRAIN_DOCS, driver_lines: int = DRIVER_LINES) -> Crf:
+    """Learn from ``labels`` rows found in ``docs``; at most ``driver_lines`` lines reach the driver, more stay in tasks."""
+    got = checkpointed(training_chains(docs, labels, id_col, label_col, text, per_class).where("length(features) > 0"))
     n, good = labels.where(F.col(label_col).isin(0, 1)).agg(F.count("*"), F.sum(F.col(label_col))).first()
-    chains = [(r["label"], np.frombuffer(r["features"], np.float32).reshape(-1, OWN)) for r in got if r["features"]]
+    share = float(good) / n if n else 0.5
+    found = {r["label"]: r for r in got.groupBy("label").agg(
+        F.count("*").alias("n"), F.sum(F.length("features").cast("long")).alias("bytes")).collect()}
+    n_lines = sum(r["bytes"] for r in found.values()) // (4 * OWN)
+    if n_lines > driver_lines and len(found) == 2:
+        by_class = np.array([(1 - share) / found[0]["n"], share / found[1]["n"]])
+        return train_in_tasks(checkpointed(got.repartition(-(-n_lines // driver_lines))), by_class, share)
+    if len(found) < 2:
+        return Crf(None, None, share)
+    chains = [(r["label"], _features(r["features"])) for r in got.collect()]
     chains.sort(key=lambda c: (c[0], c[1].tobytes()))  # the same model whatever the order of arrival
-    return train(chains, float(good) / n if n else 0.5)
+    return train(chains, share)
 
 
 def with_score(docs: DataFrame, model: Crf, text: str = "text", carry: list[str] | None = None) -> DataFrame:

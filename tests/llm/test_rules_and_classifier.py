@@ -150,3 +150,45 @@ def test_scores_of_odd_texts(docs, spark):
     by_id = {r["doc_id"]: r["score"] for r in rows}
     assert by_id[0] == by_id[1] == by_id[2] == model.good
     assert by_id[4] == by_id[None] and by_id[4] > 0.5 > by_id[8]
+
+
+@pytest.mark.parametrize("segment", [1, 2, 3])
+def test_segments_of_long_chains_are_joined(monkeypatch, segment):
+    rng = np.random.default_rng(4)
+    size = np.array([1, 9, 2, 7, 3, 4, 6])
+    first = np.cumsum(size) - size
+    score, move = rng.normal(size=(size.sum(), 2)) * 3, rng.normal(size=(2, 2)) * 2
+    whole, counts = crf_quality.marginals(score, move, first, size)
+    monkeypatch.setattr(crf_quality, "SEGMENT", segment)
+    p, moves = crf_quality.marginals(score, move, first, size)
+    for a, n in zip(first, size):
+        assert np.allclose(p[a:a + n], chain_probabilities(score[a:a + n], move))
+    assert np.allclose(p, whole) and np.allclose(moves, counts)
+
+
+def test_all_lines_of_sampled_documents_are_learned_from(docs, spark):
+    labels = spark.createDataFrame([(16, 1), (8, 0)], "doc_id long, quality int")
+    rows = crf_quality.training_chains(docs, labels).collect()
+    size = {r["label"]: len(r["features"]) // (4 * crf_quality.OWN) for r in rows}
+    assert size == {1: 3000, 0: 1}
+
+
+def test_junk_after_a_clean_head_is_learned(spark):
+    """The documents' first 70 lines are alike; only what follows tells good from bad."""
+    ship(spark)
+    head = [GOOD[k % 3] for k in range(70)]
+    junk = ["BUY!! NOW!! CHEAP!! PILLS!!", "ab### cd$$$ ef%%% gh&&& ij***"]
+    text = {y: "\n".join(head + [(GOOD if y else junk)[k % (3 if y else 2)] for k in range(700)]) for y in (0, 1)}
+    docs = spark.createDataFrame([(i, text[i % 2]) for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10)], "doc_id long, quality int")
+    model = crf_quality.fit_on(docs, labels)
+    score = {r["doc_id"]: r["score"] for r in crf_quality.with_score(docs, model).collect()}
+    assert all((score[i] > 0.5) == (i % 2 == 1) for i in range(20))
+
+
+def test_tasks_learn_what_the_driver_does(docs, spark):
+    labels = spark.createDataFrame([(4, 1), (5, 1), (7, 1), (16, 1), (8, 0), (9, 0), (13, 0)], "doc_id long, quality int")
+    one = crf_quality.fit_on(docs, labels)
+    many = crf_quality.fit_on(docs, labels, driver_lines=1000)
+    assert np.allclose(one.weights, many.weights, atol=1e-4) and np.allclose(one.move, many.move, atol=1e-4)
+    assert one.good == many.good
