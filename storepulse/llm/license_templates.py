@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import license_texts
 from .frames import map_arrow, without
 from .textbytes import LOWER, blocks, column_bytes, hashes, spans
 
@@ -44,6 +45,14 @@ _WORD[0x80:] = True
 #: Fixed phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
+_UNDER = ("<<optional>><<optional>><<optional>>you can<</optional>> redistribute it and/or modify it<</optional>>"
+          "<<optional>>licensed<</optional>><<optional>>released<</optional>><<optional>>distributed<</optional>> "
+          "under the <<optional>>terms of the<</optional>><</optional>>")
+_LATER = "<<optional>>or (at your option) any later version<</optional>>"
+_GPL = (_UNDER + "GNU general public license <<optional>>, as published by the free software foundation,<</optional>> "
+        "<<optional>>either<</optional>> version {0} <<optional>>of the license<</optional>>" + _LATER)
+_CC = "<<optional>>licensed under <<optional>>a<</optional>><<optional>>the<</optional>><</optional>>"
+
 #: Templates and the labels they add.
 TEMPLATES = {
     "mit-notice": "<<optional>>this <<words 1 3>> is<</optional>> released under the <<optional>>terms of the<</optional>> MIT license",
@@ -54,21 +63,52 @@ TEMPLATES = {
         copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the
         following conditions: <<optional>>The above copyright notice and this permission notice
         <<optional>>(including the next paragraph)<</optional>> shall be included in all copies or substantial
-        portions of the Software.<</optional>>""",
-    "apache-2.0": "licensed under the Apache license <<optional>>, version 2.0<</optional>><<optional>>(the "
-                  "\"License\")<</optional>>",
-    "gpl-3.0": "licensed under the <<optional>>terms of the<</optional>> GNU general public license "
-               "<<optional>>, as published by the free software foundation,<</optional>> "
-               "<<optional>>either<</optional>> version 3 <<optional>>of the license<</optional>>",
-    "gpl-2.0": "licensed under the <<optional>>terms of the<</optional>> GNU general public license "
-               "<<optional>>, as published by the free software foundation,<</optional>> "
-               "<<optional>>either<</optional>> version 2 <<optional>>of the license<</optional>>",
-    "cc-by-4.0": "licensed under <<optional>>a<</optional>> <<optional>>creative commons<</optional>> CC BY 4.0",
-    "cc-by-nc-4.0": "licensed under <<optional>>a<</optional>> <<optional>>creative commons<</optional>> CC BY-NC 4.0",
-    "cc-by-sa-4.0": "licensed under <<optional>>a<</optional>> <<optional>>creative commons<</optional>> CC BY-SA 4.0",
-    "all-rights-reserved": "copyright <<words 0 8>> all rights reserved",
+        portions of the Software.<</optional>>
+        <<optional>>The software is provided "as is", without warranty of any kind, express or implied, including but
+        not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement. In no
+        event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an
+        action of contract, tort or otherwise, arising from, out of or in connection with the software or the use or
+        other dealings in the software.<</optional>>""",
+    "apache-notice": "licensed under the Apache license <<optional>>, version 2.0<</optional>><<optional>>(the "
+                     "\"License\")<</optional>>",  # whatever the version
+    "apache-2.0": _UNDER + """ Apache license <<optional>>, version<</optional>> 2.0 <<optional>>(the "License")<</optional>>
+        <<optional>>; you may not use this file except in compliance with the License. You may obtain a copy of the
+        License at <<words 0 10>> Unless required by applicable law or agreed to in writing, software distributed under
+        the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or
+        implied. See the License for the specific language governing permissions and limitations under the
+        License.<</optional>>""",
+    "apache-2.0-text": license_texts.APACHE_2,
+    "gpl-3.0": _GPL.format(3),
+    "gpl-3.0-text": license_texts.GPL_3,
+    "gpl-2.0": _GPL.format(2),
+    "gpl-2.0-text": license_texts.GPL_2,
+    "cc-by-4.0": _CC + "<<optional>>creative commons<</optional>> CC BY 4.0",
+    "cc-by-nc-4.0": _CC + "<<optional>>creative commons<</optional>> CC BY-NC 4.0",
+    "cc-by-sa-4.0": _CC + "<<optional>>creative commons<</optional>> CC BY-SA 4.0",
+    "all-rights-reserved": "<<optional>>copyright <<words 0 8>><</optional>> all rights reserved",
 }
 
+_CC_NAME = (_CC + "creative commons attribution {0} 4.0 <<optional>>international<</optional>> "
+            "<<optional>><<optional>>public<</optional>> license<</optional>>")
+
+#: Other wordings of the notices above: label and template.
+WORDINGS = [
+    ("mit-notice", "licensed under the <<optional>>terms of the<</optional>> MIT license"),
+    ("mit-notice", "distributed under the <<optional>>terms of the<</optional>> MIT license"),
+    ("mit-notice", "SPDX-License-Identifier: MIT"),
+    ("apache-2.0", _UNDER + "Apache license version 2"),
+    ("apache-2.0", _UNDER + "Apache license v2 <<optional>>0<</optional>>"),
+    ("apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    *((f"gpl-{n}.0", t.format(n)) for n in (3, 2) for t in (
+        _UNDER + "GNU general public license v{0} <<optional>>0<</optional>>" + _LATER,
+        "version {0} of the GNU general public license" + _LATER,
+        "GNU GPL <<optional>>version<</optional>> {0}",
+        "GNU GPL v{0}",
+        "SPDX-License-Identifier: GPL-{0}.0 <<optional>>only<</optional>><<optional>>or later<</optional>>")),
+    *((f"cc-by{k}-4.0", t) for k, names in (("", [""]), ("-nc", ["noncommercial", "non commercial"]), ("-sa", ["sharealike", "share alike"]))
+      for t in (*map(_CC_NAME.format, names), f"SPDX-License-Identifier: CC-BY{k}-4.0")),
+]
+
 
 def word_hashes(text: str) -> list[int]:
     """Hashes of the words of a template's or phrase's wording."""
@@ -167,9 +207,9 @@ def compiled(template: str) -> Automaton:
 class Scanner:
     """Compiled phrases and templates."""
 
-    def __init__(self, phrases: dict[str, str], templates: dict[str, str]):
+    def __init__(self, phrases: dict[str, str], templates: list[tuple[str, str]]):
         self.phrases = [(np.array(word_hashes(p), np.uint64), label) for p, label in phrases.items()]
-        self.automata = [(label, compiled(t)) for label, t in templates.items()]
+        self.automata = [(label, compiled(t)) for label, t in templates]
         wanted = {w for _, a in self.automata for w in a.mandatory}
         self.wanted = np.array(sorted(wanted), np.uint64)
 
@@ -242,7 +282,8 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: dict
 
     A place has its label, whether a fixed phrase (``base``) or a template, and the words [first, end).
     """
-    scanner = Scanner(PHRASES if phrases is None else phrases, TEMPLATES if templates is None else templates)
+    given_templates = [*TEMPLATES.items(), *WORDINGS] if templates is None else list(templates.items())
+    scanner = Scanner(PHRASES if phrases is None else phrases, given_templates)
     fields = without(docs.select(*(docs.columns if carry is None else carry)).schema, OUT.names)
     names = [f.name for f in fields]
     place = pa.list_(pa.struct([("label", pa.string()), ("base", pa.bool_()), ("first", pa.int64()), ("end", pa.int64())]))

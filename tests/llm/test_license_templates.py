@@ -108,3 +108,55 @@ def test_scan(spark, tmp_path):
     by_id = {r["doc_id"]: r["labels"] for r in got}
     assert by_id[14] == "mit-text" and by_id[15] == "" and by_id[10] == "cc-by-nc-4.0"
     assert lt.scan(docs.limit(0)).count() == 0
+
+
+NOTICES = {
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
+    "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.": "gpl,gpl-3.0",
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License "
+    "as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.": "gpl,gpl-2.0",
+    'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\n'
+    "You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\n"
+    "Unless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an \"AS IS\" BASIS,\n"
+    "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\nSee the License for the specific language governing "
+    "permissions and\nlimitations under the License.": "apache,apache-2.0,apache-notice",
+    "Licensed under the Apache License.": "apache,apache-notice",
+    "Licensed under the Apache License, Version 1.1": "apache,apache-notice",
+    "Apache License v2.0": "apache,apache-2.0",
+    "All rights reserved.": "all-rights-reserved",
+    "Copyright 2020 Some Body. All rights reserved.": "all-rights-reserved",
+    "This project is licensed under the MIT License.": "mit,mit-notice",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License.": "cc-by-4.0",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.": "cc-by-nc-4.0",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "cc-by-sa-4.0",
+    "CC BY-SA 4.0": "cc-by-sa-4.0",
+    "SPDX-License-Identifier: GPL-2.0-or-later": "gpl-2.0",
+    "under version 3 of the GNU General Public License": "gpl,gpl-3.0",
+    "GNU Lesser General Public License, version 3": "gpl",
+}
+
+
+def scanned(text):
+    scanner = lt.Scanner(lt.PHRASES, [*lt.TEMPLATES.items(), *lt.WORDINGS])
+    _, places, share = scanner.scan(lt.pa.array([text]))
+    return {p["label"] for p in places[0]}, places[0], share[0]
+
+
+@pytest.mark.parametrize("notice", NOTICES)
+def test_published_notices(notice):
+    assert ",".join(sorted(scanned("before " + notice + " after")[0])) == NOTICES[notice]
+
+
+def test_standard_notices_are_covered_whole():
+    for notice in list(NOTICES)[:3]:
+        lead = 5 if notice.startswith("This program") else 0  # "This program is free software"
+        assert scanned(notice)[2] == pytest.approx(1 - lead / len(words(notice)))
+
+
+@pytest.mark.parametrize("label", ["mit-text", "apache-2.0-text", "gpl-2.0-text", "gpl-3.0-text"])
+def test_license_texts(label):
+    text = re.sub(r"<<.*?>>", "", lt.TEMPLATES[label])
+    assert len(words(text)) > 100
+    labels, places, share = scanned("Some name.\n" + text)
+    assert label in labels and share == pytest.approx(1 - 2 / len(words("Some name.\n" + text)))
+    assert label not in scanned(text.replace("copies", "pictures"))[0]
