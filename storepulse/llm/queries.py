@@ -57,7 +57,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_gumbel_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return segment_sampling.sample(docs, public_tokenizers.path(PIECES), with_ids=False)
+    return segment_sampling.sample(docs, public_tokenizers.path(PIECES), with_decoded=True)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

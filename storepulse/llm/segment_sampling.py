@@ -44,13 +44,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .textbytes import hashes, mixed
+from .textbytes import hashes, mixed, row_blocks
 
 SAMPLES = 2
 ALPHA = 1.0
 SEED = 7
 REACH = 20.0
 BLOCK_CHARS = 2_000_000
+DECODE_IDS = 1 << 18
 SPACE = "▁"
 _B = np.uint64(0x9E3779B97F4A7C15)
 
@@ -431,10 +432,50 @@ def sampled(vocabulary: Vocabulary, keys: list, texts: list[str | None], k: int
     return [(*r, float(i)) for r, i in zip(found, inc)]
 
 
+class Decoder:
+    """Texts of rows of ids, by gathering the bytes of all pieces at once; odd rows are left to the model's own decoder."""
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        self.sp = sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        n = sp.get_piece_size()
+        raw = [bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i) else sp.id_to_piece(i).replace(SPACE, " ").encode() for i in range(n)]
+        self.size = np.array([len(r) for r in raw])
+        self.at = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(raw), np.uint8)
+        self.odd = np.array([sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) for i in range(n)])
+        self.opens = np.array([sp.id_to_piece(i).startswith(SPACE) for i in range(n)])
+
+    def texts(self, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """UTF-8 of the rows ids[offsets[i]:offsets[i + 1]]."""
+        out = []
+        for lo, hi in row_blocks(offsets, DECODE_IDS):
+            own, edge = ids[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
+            if own.size and (own.min() < 0 or own.max() >= self.size.size):
+                raise ValueError("ids beyond the model's pieces")
+            size = self.size[own]
+            until = np.r_[0, np.cumsum(size)]
+            raw = self.data[np.arange(until[-1]) + np.repeat(self.at[own] - until[:-1], size)].tobytes()
+            odd = np.r_[0, np.cumsum(self.odd[own])]
+            for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+                text = raw[until[a] + 1:until[b]] if a < b else b""  # without the space that opens every text
+                plain = a == b or (self.opens[own[a]] and odd[a] == odd[b])
+                if plain:
+                    try:
+                        text.decode()
+                    except UnicodeDecodeError:
+                        plain = False
+                out.append(text if plain else self.sp.decode(own[a:b].tolist()).encode())
+        return out
+
+
 def sample(docs: DataFrame, model: str, id_col: str = "doc_id", text: str = "text", k: int = SAMPLES, alpha: float = ALPHA,
-           seed: int = SEED, with_ids: bool = True) -> DataFrame:
+           seed: int = SEED, with_ids: bool = True, with_decoded: bool = False) -> DataFrame:
     """(id, sample, n_pieces, ids_crc32, log_p, perturbed, log_inclusion, and ids) of each drawn segmentation.
 
+    ``with_decoded``: also decoded_crc32, of the UTF-8 of the text that the ids decode to.
+
     ``model``: path of a SentencePiece model, the same on every worker.  Samples
     of a row are numbered from 0 by falling perturbed log-probability.
     """
@@ -442,12 +483,14 @@ def sample(docs: DataFrame, model: str, id_col: str = "doc_id", text: str = "tex
     schema = T.StructType([
         T.StructField(id_col, given.schema["id"].dataType), T.StructField("sample", T.IntegerType()), T.StructField("n_pieces", T.LongType()),
         T.StructField("ids_crc32", T.LongType()), T.StructField("log_p", T.DoubleType()), T.StructField("perturbed", T.DoubleType()),
-        T.StructField("log_inclusion", T.DoubleType()), *([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else [])])
+        T.StructField("log_inclusion", T.DoubleType()), *([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else []),
+        *([T.StructField("decoded_crc32", T.LongType())] if with_decoded else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = None
+        vocabulary = decoder = None
         for batch in batches:
             vocabulary = vocabulary or Vocabulary(model, alpha)
+            decoder = decoder or (Decoder(model) if with_decoded else None)
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             lo, held = 0, 0
             for hi in range(1, len(texts) + 1):
@@ -457,8 +500,11 @@ def sample(docs: DataFrame, model: str, id_col: str = "doc_id", text: str = "tex
                     i, number, raw, size, log_p, bound, inc = zip(*rows)
                     made = [pa.array([keys[lo + x] for x in i], batch.schema.field(0).type), pa.array(number, pa.int32()), pa.array(size, pa.int64()),
                             pa.array([zlib.crc32(r) for r in raw], pa.int64()), pa.array(log_p), pa.array(bound), pa.array(inc)]
+                    flat, at = np.frombuffer(b"".join(raw), "<i4"), np.r_[0, np.cumsum(size)]
                     if with_ids:
-                        made.append(pa.array([np.frombuffer(r, "<u4").astype(np.int32) for r in raw], pa.list_(pa.int32())))
+                        made.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat)))
+                    if with_decoded:
+                        made.append(pa.array([zlib.crc32(t) for t in decoder.texts(flat, at)], pa.int64()))
                     yield pa.RecordBatch.from_arrays(made, schema.names)
                     lo, held = hi, 0
 
@@ -471,11 +517,13 @@ def decode(samples: DataFrame, model: str, ids: str = "ids", out: str = "text")
     names = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import sentencepiece
-
-        sp = sentencepiece.SentencePieceProcessor(model_file=model)
+        decoder = None
         for batch in batches:
-            texts = [None if x is None else sp.decode(x) for x in batch.column(names.index(ids)).to_pylist()]
+            decoder = decoder or Decoder(model)
+            column = batch.column(names.index(ids))
+            size = np.array([len(x.values) if x.is_valid else 0 for x in column], np.int64)
+            texts = decoder.texts(column.flatten().to_numpy(zero_copy_only=False), np.r_[0, np.cumsum(size)])
+            texts = [t.decode() if x else None for t, x in zip(texts, column.is_valid().to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*names, out])
 
     return samples.select(*names).mapInArrow(run, T.StructType([*fields, T.StructField(out, T.StringType())]))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -11,6 +12,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
+from storepulse.llm import queries
 from storepulse.llm import segment_sampling as ss
 from storepulse.llm.frames import ship
 
@@ -119,3 +121,22 @@ def test_round_trip(spark, sp):
     assert len(by_id[7]) == 6 and len({tuple(r["ids"]) for r in by_id[7]}) == 3  # a repeated row gets the same samples
     assert len(by_id[None]) == 3
     assert ss.sample(docs.limit(0), MODEL).count() == 0
+
+
+def test_query_returns_ids_and_decodes_them(spark):
+    sf = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = queries.op5_gumbel_segmentation(spark, sf).collect()
+    assert {r["doc_id"] for r in got} == set(texts)
+    for r in got:
+        assert len(r["ids"]) == r["n_pieces"] and zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"]
+        assert r["decoded_crc32"] == zlib.crc32((texts[r["doc_id"]] or "").replace(ss.SPACE, " ").encode())
+
+
+def test_decoder_gives_what_the_model_does(sp):
+    rng = random.Random(5)
+    rows = [[], [0], [1, 2], [3 + 0xC3], [3 + 0xC3, 3 + 0xA9], *([rng.randrange(sp.get_piece_size()) for _ in range(rng.randint(0, 9))] for _ in range(2000))]
+    opening = [i for i in range(sp.get_piece_size()) if sp.id_to_piece(i).startswith(ss.SPACE)]
+    rows += [[rng.choice(opening), *r] for r in rows]
+    flat, at = np.array([x for r in rows for x in r], np.int32), np.cumsum([0, *map(len, rows)])
+    assert [t.decode() for t in ss.Decoder(MODEL).texts(flat, at)] == [sp.decode(r) for r in rows]
