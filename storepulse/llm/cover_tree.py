@@ -5,13 +5,14 @@ pairs within a distance, and a tree whose nodes have a centre and a covering
 radius can drop two nodes at once when their centres are farther apart than
 both radii and that distance together.
 
-The upper levels are made once.  Centres come from a bounded sample of the
-different vectors (``SAMPLE``) in farthest-first order: each prefix covers what
-the one before covers with a smaller radius, so its lengths at radii 2, 1, 1/2
-... are nested levels.  All vectors go to their nearest centre of one level;
-the cells' radii are measured on all vectors.  Pairs of cells that the bound
-does not drop are compared in blocks of about ``BLOCK`` vectors, each pair of
-blocks in a group of its own.  There the tree goes on: nodes are split at half
+Above the blocks there is one flat level, made once.  Its centres, at most
+``MOST_CELLS``, come from a bounded sample of the different vectors (``SAMPLE``)
+in farthest-first order.  All vectors go to their nearest centre; the cells'
+radii are measured on all vectors.  Pairs of cells that the bound does not drop
+are compared in blocks of about ``BLOCK`` vectors, each pair of blocks in a
+group of its own.  A cell's vectors are dealt to its blocks by hash, so within
+a dense cell all blocks meet and work is quadratic.  The tree begins inside the
+blocks: nodes are split at half
 their radius, both blocks' trees are descended together under the same bound,
 and pairs of leaves are compared by one matrix product in double precision.
 
