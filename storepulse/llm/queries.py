@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cover_tree, crf_quality, kneser_ney, license_templates, packing, quality_rules, segment_sampling, simhash_dedup, token_scan, url_graph
+from . import (
+    cover_tree, crf_quality, kneser_ney, license_templates, packing, quality_rules, segment_sampling, simhash_dedup, token_scan,
+    url_graph, whitening)
 from .frames import shared_folder, ship
 
 BPE = "byte_bpe_50k.json"
@@ -92,6 +94,11 @@ def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(vectors, whitening.fit(vectors), carry=["vec_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_crf_quality": op2_crf_quality,
@@ -103,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_graph": op8_url_graph,
     "op9_license_templates": op9_license_templates,
     "op10_cover_tree": op10_cover_tree,
+    "op11_whitening": op11_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {"op8_url_graph": url_graph.oracle_sql(), "op10_cover_tree": cover_tree.oracle_sql()}
