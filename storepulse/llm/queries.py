@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    cover_tree, crf_quality, kneser_ney, license_templates, packing, quality_rules, segment_sampling, simhash_dedup, token_scan,
-    url_graph, whitening)
+    cover_tree, crf_quality, kneser_ney, license_templates, packing, quality_rules, segment_sampling, simhash_dedup, spelling,
+    token_scan, url_graph, whitening)
 from .frames import shared_folder, ship
 
 BPE = "byte_bpe_50k.json"
@@ -99,6 +99,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(vectors, whitening.fit(vectors), carry=["vec_id"])
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_crf_quality": op2_crf_quality,
@@ -111,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license_templates": op9_license_templates,
     "op10_cover_tree": op10_cover_tree,
     "op11_whitening": op11_whitening,
+    "op12_spelling": op12_spelling,
 }
 
 ORACLE_SQL: dict[str, str] = {"op8_url_graph": url_graph.oracle_sql(), "op10_cover_tree": cover_tree.oracle_sql()}
