@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    cover_tree, crf_quality, kneser_ney, license_templates, packing, quality_rules, segment_sampling, simhash_dedup, spelling,
+    cover_tree, crf_quality, kmeans_tree, kneser_ney, license_templates, packing, quality_rules, segment_sampling, simhash_dedup, spelling,
     token_scan, url_graph, whitening)
 from .frames import shared_folder, ship
 
@@ -103,6 +103,10 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans_tree.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_crf_quality": op2_crf_quality,
@@ -116,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_cover_tree": op10_cover_tree,
     "op11_whitening": op11_whitening,
     "op12_spelling": op12_spelling,
+    "op13_kmeans_tree": op13_kmeans_tree,
 }
 
 ORACLE_SQL: dict[str, str] = {"op8_url_graph": url_graph.oracle_sql(), "op10_cover_tree": cover_tree.oracle_sql()}
