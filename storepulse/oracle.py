@@ -24,6 +24,7 @@ from .schemas import COMPARISON, REPORT_BASE, STORE_LOOKUP, TRANSPOSED, measure_
 from .sources import fixtures as FX
 
 AS_OF = "DATE '2001-08-01'"
+SELF_MATCHED = ("daily", "week")
 DOUBLE_KPIS = tuple(k.name for k in M.KPIS if k.double)
 
 
@@ -301,43 +302,86 @@ def _full_union(name: str, src: str, period: str, comp: bool):
                 f"UNION ALL SELECT {', '.join(cols)} FROM {name}_roll) u", (src, f"{name}_roll"))
 
 
-def _compare(name: str, ty: str, prior: str | None):
-    if prior is None:
-        src, cond, deps = ty, "a.ly_date = b.report_date", (ty,)
-    else:
-        src = f"(SELECT *, report_date + {M.LY_SHIFT_DAYS} AS ny_date FROM {prior})"
-        cond, deps = "a.report_date = b.ny_date", (ty, prior)
+def _compare(name: str, ty: str, prior: str, shifted: bool):
+    """``prior`` is a frame of its own; where it is not shifted it holds the rows of ``ty`` again."""
+    meets = f"report_date + {M.LY_SHIFT_DAYS}" if shifted else "report_date"
+    src = f"(SELECT {meets} AS meets, segment, {', '.join(M.COMPARED_MEASURES)} FROM {prior})"
+    cond = f"a.{'report_date' if shifted else 'ly_date'} = b.meets"
     keys = ", ".join(f"a.{c}" for c in M.COMPARE_KEY_COLUMNS)
     g = ", ".join(f"{growth_sql(c)} AS {c}" for c in M.COMPARED_MEASURES)
-    G.add(name, f"SELECT {keys}, {g} FROM {ty} a LEFT JOIN {src} b ON {cond} AND a.segment = b.segment", deps)
+    G.add(name, f"SELECT {keys}, {g} FROM {ty} a LEFT JOIN {src} b ON {cond} AND a.segment = b.segment", (ty, prior))
+
+
+def _since(name: str, src: str, days: int | None) -> str:
+    """``src``, or its rows of the last ``days`` days under ``name``."""
+    if days is None:
+        return src
+    G.add(name, f"SELECT * FROM {src} WHERE report_date >= {AS_OF} - {days}", (src,))
+    return name
+
 
+def _store_frames(period: str, suffix: str = "", days: int | None = None) -> tuple[str, str]:
+    """Store rows of this year and last year as CTEs; with opening dates they are open_<name>.
 
-def _build_period(period: str, base: str, suffix: str = ""):
-    """CTEs ty_<tag>, ly_<tag>, comp_<tag> (and helpers) over ``base``."""
+    With ``days`` they are cut, after the running sums, to so many last days and those they are compared with.
+    """
     tag = M.PERIOD_TAG[period] + suffix
-    if period == "daily":
-        cur = base
-    else:
-        cur = f"ptd_{tag}"
-        _ptd(cur, base, period, "report_date")
-    _with_open(f"open_{tag}", cur)
-    _full_union(f"ty_{tag}", cur, period, False)
-    _full_union(f"cty_{tag}", f"open_{tag}", period, True)
-    if period in ("daily", "week"):
-        _compare(f"ly_{tag}", f"ty_{tag}", None)
-        _compare(f"comp_{tag}", f"cty_{tag}", None)
-    else:
-        past = "past_year" if not suffix else f"past_year{suffix}"
-        _ptd(f"sptd_{tag}", past, period, "ny_date")
-        _with_open(f"sopen_{tag}", f"sptd_{tag}")
-        _full_union(f"sty_{tag}", f"sptd_{tag}", period, False)
-        _full_union(f"scty_{tag}", f"sopen_{tag}", period, True)
-        _compare(f"ly_{tag}", f"ty_{tag}", f"sty_{tag}")
-        _compare(f"comp_{tag}", f"cty_{tag}", f"scty_{tag}")
+
+    def running(name: str, src: str, date_col: str) -> str:
+        if period == "daily":
+            G.add(name, f"SELECT * FROM {src}", (src,))
+        else:
+            _ptd(name, src, period, date_col)
+        return name
+
+    shifted = period not in SELF_MATCHED
+    now = _since(f"cut_{tag}", running(f"ptd_{tag}", "base", "report_date"), days)
+    # last year's side is built from the base again where its rows are those of this year, so no frame meets itself
+    last = running(f"sptd_{tag}", "past_year" if shifted else "base", "ny_date" if shifted else "report_date")
+    last = _since(f"scut_{tag}", last, None if days is None else days + M.LY_SHIFT_DAYS)
+    for name in (now, last):
+        _with_open(f"open_{name}", name)
+    return now, last
+
+
+def _build_period(period: str):
+    """CTEs ty_<tag>, ly_<tag>, comp_<tag> (and helpers)."""
+    tag, shifted = M.PERIOD_TAG[period], period not in SELF_MATCHED
+    now, last = _store_frames(period)
+    _full_union(f"ty_{tag}", now, period, False)
+    _full_union(f"cty_{tag}", f"open_{now}", period, True)
+    _full_union(f"sty_{tag}", last, period, False)
+    _full_union(f"scty_{tag}", f"open_{last}", period, True)
+    _compare(f"ly_{tag}", f"ty_{tag}", f"sty_{tag}", shifted)
+    _compare(f"comp_{tag}", f"cty_{tag}", f"scty_{tag}", shifted)
 
 
 for _p in M.PERIODS:
-    _build_period(_p, "base")
+    _build_period(_p)
+
+_TAGS = "period, comp, meets, report_date, ly_date"
+
+
+def _stacked(name: str, frames: list[tuple[str, str, str]]):
+    """All levels and KPIs of several frames (period, store rows with opening dates, date to meet on), with and without the mask."""
+    G.add(f"{name}_stores", "\nUNION ALL\n".join(
+        f"SELECT '{period}' AS period, {meets} AS meets, report_date, ly_date, profit_center, region, market, filter_level, segment, "
+        f"store_open_date, {', '.join(_MEAS)} FROM {src}" for period, src, meets in frames), tuple(src for _, src, _ in frames))
+    G.add(f"{name}_both", f"SELECT * FROM {name}_stores CROSS JOIN (VALUES (FALSE), (TRUE)) AS masks(comp)", (f"{name}_stores",))
+    sums = ", ".join(f"SUM(CASE WHEN NOT comp OR ly_date >= store_open_date THEN {c} ELSE 0 END) AS {c}" for c in _MEAS)
+    branches = [f"SELECT {_TAGS}, 'Aggregated' AS filter_level, '{code.title()}' AS segment, {sums} FROM {name}_both "
+                f"{f'WHERE {cond}' if cond else ''} GROUP BY {_TAGS}" for code, cond in _BRANCHES]
+    branches += [f"SELECT {_TAGS}, '{col.title()}' AS filter_level, {col} AS segment, {sums} FROM {name}_both "
+                 f"WHERE NOT (trim({col}) IN ('', 'n/a')) GROUP BY {_TAGS}, {col}" for col in ("region", "market")]
+    branches.append(f"SELECT {_TAGS}, filter_level, segment, {', '.join(_MEAS)} FROM {name}_both")
+    G.add(f"{name}_levels", "\nUNION ALL\n".join(branches), (f"{name}_both",))
+    kpis = ", ".join(f"{kpi_sql(k)} AS {k.name}" for k in M.KPIS)
+    G.add(name, f"SELECT *, {kpis} FROM {name}_levels", (f"{name}_levels",))
+
+
+def _values(value_type: str) -> str:
+    return "[" + ", ".join(f"CAST({c} AS {value_type})" for _, c, _, _ in M.CATALOGUE) + "]"
+
 
 # The long report: transposed frames joined by the six keys.
 _CAT_VALUES = ", ".join(f"('{label}', '{src}', {order}, '{color}')" for label, src, order, color in M.CATALOGUE)
@@ -354,16 +398,33 @@ FROM {src} f CROSS JOIN catalogue m
 WHERE f.report_date >= {AS_OF} - {M.ROLLING_WINDOW_DAYS}""", (src, "catalogue"))
 
 
-_VIEWS = ("ty", "ly", "comp")
-for _p in M.PERIODS:
-    for _v in _VIEWS:
-        _t = M.PERIOD_TAG[_p]
-        _transpose(f"t_{_t}_{_v}", f"{_v}_{_t}", f"{_t}_{_v}")
+_transpose("t_daily_ty", "ty_daily", "daily_ty")
+
 
-_JOIN_KEYS = "report_date, filter_level, segment, metric, column_order, color"
-_tnames = [f"t_{M.PERIOD_TAG[p]}_{v}" for p in M.PERIODS for v in _VIEWS]
-G.add("combined", "SELECT * FROM " + _tnames[0] + "".join(
-    f"\nFULL OUTER JOIN {t} USING ({_JOIN_KEYS})" for t in _tnames[1:]), tuple(_tnames))
+# One frame holds all periods with and without the mask, for the text to stay short.  A wide row has each metric
+# once, so joining the wide rows and then listing their metrics gives the rows that joining the listed metrics would.
+_frames = {p: _store_frames(p, "_shown", M.ROLLING_WINDOW_DAYS) for p in M.PERIODS}
+_stacked("now", [(p, f"open_{now}", "ly_date" if p in SELF_MATCHED else "report_date") for p, (now, _) in _frames.items()])
+_stacked("last", [(p, f"open_{last}", "report_date" if p in SELF_MATCHED else f"report_date + {M.LY_SHIFT_DAYS}")
+                  for p, (_, last) in _frames.items()])
+G.add("changes", "SELECT a.period, a.comp, a.report_date, a.filter_level, a.segment, "
+      + ", ".join(f"{growth_sql(c)} AS {c}" for c in M.COMPARED_MEASURES)
+      + " FROM now a LEFT JOIN last b ON a.period = b.period AND a.comp = b.comp AND a.meets = b.meets AND a.segment = b.segment",
+      ("now", "last"))
+G.add("now_values", f"SELECT period, report_date, filter_level, segment, {_values('DECIMAL(21,2)')} AS metrics FROM now WHERE NOT comp", ("now",))
+G.add("change_values", f"SELECT period, comp, report_date, filter_level, segment, {_values('DECIMAL(10,2)')} AS metrics FROM changes", ("changes",))
+_names = [f"{M.PERIOD_TAG[p]}_{v}" for p in M.PERIODS for v in ("ty", "ly", "comp")]
+for _p in M.PERIODS:
+    for _v, _src, _which in (("ty", "now_values", ""), ("ly", "change_values", " AND NOT comp"), ("comp", "change_values", " AND comp")):
+        _n = f"{M.PERIOD_TAG[_p]}_{_v}"
+        G.add(f"w_{_n}", f"SELECT report_date, filter_level, segment, metrics AS {_n} FROM {_src} WHERE period = '{_p}'{_which}", (_src,))
+G.add("joined", "SELECT * FROM w_" + _names[0] + "".join(
+    f"\nFULL OUTER JOIN w_{n} USING (report_date, filter_level, segment)" for n in _names[1:]), tuple(f"w_{n}" for n in _names))
+G.add("numbered", "SELECT * FROM (VALUES " + ", ".join(
+    f"({i}, '{label}', {order}, '{color}')" for i, (label, _, order, color) in enumerate(M.CATALOGUE, 1))
+    + ") AS t(place, metric, column_order, color)")
+G.add("combined", "SELECT report_date, filter_level, segment, metric, column_order, color, "
+      + ", ".join(f"{n}[place] AS {n}" for n in _names) + " FROM joined CROSS JOIN numbered", ("joined", "numbered"))
 
 
 # ---------------------------------------------------------------- queries
@@ -420,7 +481,7 @@ _QUERIES: dict[str, tuple[str, tuple[str, ...]]] = {
     "ytd_running": _ptd_query("ptd_ytd", "year"),
     "mtd_running_shifted": _ptd_query("sptd_mtd", "month"),
     "ytd_running_shifted": _ptd_query("sptd_ytd", "year"),
-    "comp_prep": (f"SELECT {_cast_all(REPORT_BASE)}, store_open_date FROM open_daily", ("open_daily",)),
+    "comp_prep": (f"SELECT {_cast_all(REPORT_BASE)}, store_open_date FROM open_ptd_daily", ("open_ptd_daily",)),
     "transpose_daily_ty": ("SELECT report_date, filter_level, segment, metric, column_order, color, daily_ty "
                            "FROM t_daily_ty", ("t_daily_ty",)),
 }
