@@ -14,6 +14,11 @@ def ly_date_offsets(base: DataFrame) -> int:
     return base.select("report_date", "ly_date").filter(bad).limit(1).count()
 
 
+def has_nameless(base: DataFrame) -> bool:
+    """Whether a row has no store name: a scan of one column, answered by Parquet's statistics where they can."""
+    return not base.select("store_name").where("store_name IS NULL").isEmpty()
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> int:
     """Number of key values that occur more than once (one shuffle on the keys)."""
     return df.groupBy(*keys).count().filter(F.col("count") > 1).count()

@@ -1,12 +1,15 @@
 """The seven-level stack.
 
 Six rollup levels (Total, Stores, Online, Omni, each Region, each Market) are
-computed in ONE aggregation: every input row is tagged with the levels it
-belongs to (``explode`` of an array of level structs; a failed predicate
-yields null and is compacted away), then a single ``groupBy`` sums the 38
-measures per (dates, level, segment).  Partial aggregation runs before the
-shuffle, so the exchange carries one row per (task, date, level, segment)
-whatever the input size, and a hot level such as Total cannot skew a task.
+computed from ONE pass over the store rows, in two aggregations.  The first sums
+the 38 measures per (dates, channel, region, market): a level is a union of such
+groups, and there are as many as a day has different ones, however many stores.
+Only their sums are tagged with the levels they belong to (``explode`` of an
+array of level structs; a failed predicate yields null and is compacted away)
+and summed again.  So a store row's 38 decimals are added once, not once a
+level.  Both aggregations are partial before their shuffle, so an exchange
+carries one row per task and group, and a hot level such as Total cannot skew a
+task.
 
 ``full_union`` stacks the store rows and the rollups (bag union) and adds the
 KPIs to both, as ratios of sums.
@@ -37,13 +40,16 @@ def _by_value(column: str) -> str:
     return _level(f"'{column.title()}'", f"`{column}`", f"`{column}`")
 
 
+def channel_sql() -> str:
+    """Which of Stores, Online and Omni a store row counts for (A3-A5 predicates); null: none."""
+    return f"CASE WHEN {is_store_sql()} THEN 'stores' WHEN {is_online_sql()} THEN 'online' WHEN {is_omni_sql()} THEN 'omni' END"
+
+
 def level_tags_sql() -> str:
-    """Array of the levels a store row rolls up into (A2-A7 predicates)."""
+    """Array of the levels that a group of (channel, region, market) rolls up into."""
     parts = [
         _aggregated("total"),
-        f"CASE WHEN {is_store_sql()} THEN {_aggregated('stores')} END",
-        f"CASE WHEN {is_online_sql()} THEN {_aggregated('online')} END",
-        f"CASE WHEN {is_omni_sql()} THEN {_aggregated('omni')} END",
+        *[f"CASE WHEN channel = '{code}' THEN {_aggregated(code)} END" for code in ("stores", "online", "omni")],
         f"CASE WHEN {has_segment_sql('region')} THEN {_by_value('region')} END",
         f"CASE WHEN {has_segment_sql('market')} THEN {_by_value('market')} END",
     ]
@@ -54,6 +60,20 @@ def level_tags() -> Column:
     return F.expr(level_tags_sql())
 
 
+#: What the first aggregation tells apart beside the dates; every level is a union of these groups.
+GROUP = ("channel", "region", "market")
+
+
+def _grouped(df: DataFrame, keys: list[str], sums: list[Column]) -> DataFrame:
+    """First aggregation: one row for each of ``keys`` and (channel, region, market)."""
+    return df.withColumn("channel", F.expr(channel_sql())).groupBy(*keys, *GROUP).agg(*sums)
+
+
+def _sum(column: str, counted: str | None = None) -> Column:
+    value = f"`{column}`" if counted is None else f"CASE WHEN {counted} THEN `{column}` ELSE 0 END"
+    return F.expr(f"sum({value})").alias(column)
+
+
 def group_keys(period: str) -> list[str]:
     """A10: report_date, ly_date and the period start unless daily."""
     pcol = M.period_column(period)
@@ -70,20 +90,14 @@ def rollup_levels(df: DataFrame, period: str, comp: bool = False) -> DataFrame:
     add 0), which needs ``store_open_date`` from ``lookup.with_open_date``.
     """
     keys = group_keys(period)
-    if comp:
-        sums = [F.expr(f"sum(CASE WHEN {COMP_INCLUDED} THEN `{c}` ELSE 0 END)").alias(c)
-                for c in M.ADDITIVE_MEASURES]
-        extra = ["store_open_date"]
-    else:
-        sums = [F.expr(f"sum(`{c}`)").alias(c) for c in M.ADDITIVE_MEASURES]
-        extra = []
-    tagged = df.select(*keys, *M.ADDITIVE_MEASURES, *extra, F.explode(level_tags()).alias("lvl"))
+    grouped = _grouped(df, keys, [_sum(c, COMP_INCLUDED if comp else None) for c in M.ADDITIVE_MEASURES])
+    tagged = grouped.select(*keys, *M.ADDITIVE_MEASURES, F.explode(level_tags()).alias("lvl"))
     out = tagged.groupBy(
         *keys,
         F.col("lvl.filter_level").alias("filter_level"),
         F.col("lvl.segment").alias("segment"),
         F.col("lvl.code").alias("code"),
-    ).agg(*sums)
+    ).agg(*[_sum(c) for c in M.ADDITIVE_MEASURES])
     return out.select(
         *keys,
         F.lit(None).cast(T.LongType()).alias("app_key"),
@@ -116,17 +130,22 @@ def full_union(df: DataFrame, period: str, comp: bool = False) -> DataFrame:
 
 
 def tagged_union(df: DataFrame, tags: tuple[str, ...], masked: str) -> DataFrame:
-    """U1 for several frames at once, told apart by the columns ``tags``.
+    """U1 for several frames at once, told apart by the columns ``tags``, each with and without the comp mask.
 
-    One grouping and one KPI projection serve all of them.  Where the boolean
-    column ``masked`` (one of the tags) is true, the rollup sums count only rows
-    whose store was open on ``ly_date`` (A9).
+    The boolean column ``masked`` is added: where it is true, the rollup sums count only
+    rows whose store was open on ``ly_date`` (A9).  Store rows are never masked, so
+    their KPIs are computed once and the rows then stand under both.
     """
     keys = [*tags, "report_date", "ly_date"]
-    counted = f"NOT {masked} OR {COMP_INCLUDED}"
-    exploded = df.select(*keys, "store_open_date", *M.ADDITIVE_MEASURES, F.explode(level_tags()).alias("lvl"))
+    both = F.explode(F.array(F.lit(False), F.lit(True))).alias(masked)
+    open_then = df.withColumn("_open", F.expr(f"coalesce({COMP_INCLUDED}, false)"))
+    grouped = _grouped(open_then, [*keys, "_open"], [_sum(c) for c in M.ADDITIVE_MEASURES])
+    grouped = grouped.select(*grouped.columns, both)
+    exploded = grouped.select(*keys, masked, "_open", *M.ADDITIVE_MEASURES, F.explode(level_tags()).alias("lvl"))
     rolled = exploded.groupBy(
-        *keys, F.col("lvl.filter_level").alias("filter_level"), F.col("lvl.segment").alias("segment"),
-    ).agg(*[F.expr(f"sum(CASE WHEN {counted} THEN `{c}` ELSE 0 END)").alias(c) for c in M.ADDITIVE_MEASURES])
+        *keys, masked, F.col("lvl.filter_level").alias("filter_level"), F.col("lvl.segment").alias("segment"),
+    ).agg(*[_sum(c, f"NOT {masked} OR _open") for c in M.ADDITIVE_MEASURES])
     cols = [*keys, "filter_level", "segment", *M.ADDITIVE_MEASURES]
-    return df.select(*cols).unionByName(rolled.select(*cols)).select(*cols, *kpi_columns())
+    ends = [*cols, *M.KPI_NAMES, masked]
+    stores = df.select(*cols, *kpi_columns()).select(*cols, *M.KPI_NAMES, both)
+    return stores.select(*ends).unionByName(rolled.select(*cols, masked, *kpi_columns()).select(*ends))

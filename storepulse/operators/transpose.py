@@ -12,9 +12,9 @@ once by (date, level, segment) and grouped there; each source becomes one
 column, and only then is the result exploded to 48 rows per key.  The single
 shuffle moves one array per key and source instead of 48 keyed rows.
 
-A full join multiplies rows that repeat a key within a frame.  Such keys
-(normally none) are told apart by a count in the same grouping: their rows are
-numbered within their source, each combination of one row per source gets its
+Where a count over the keys of the stored frames finds none twice (normally), that is
+all.  A full join multiplies rows that repeat a key within a frame.  Such keys
+are told apart by a count in the same grouping: their rows are numbered within their source, each combination of one row per source gets its
 own number, and one join and one grouping by key and combination give the
 product.  A null key component never matches in a join, so such rows are kept
 apart per source, and one by one.
@@ -95,13 +95,50 @@ def _products(rows: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
     return _combined(picked.select(*keys, "_c", "_src", "_values"), [*keys, "_c"], names)
 
 
+def _repeats(frames: dict[str, DataFrame]) -> bool:
+    """Whether some frame has a key twice, or a null in one: one grouped count over the key columns alone."""
+    keys = reduce(DataFrame.unionByName, [df.select(*LONG_KEYS, F.lit(i).alias("_src")) for i, df in enumerate(frames.values())])
+    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in LONG_KEYS])
+    counted = keys.groupBy(*LONG_KEYS, "_src").agg(F.count("*").alias("n"))
+    return not counted.where((F.col("n") > 1) | null_key).isEmpty()
+
+
 def combine(frames: dict[str, DataFrame], as_of: Column) -> DataFrame:
-    """J4 + T1 for all frames: {value column name: wide report} -> long table."""
-    packed = reduce(
-        DataFrame.unionByName,
-        [pack(since(df, as_of, M.ROLLING_WINDOW_DAYS), i, n) for i, (n, df) in enumerate(frames.items())],
+    """J4 + T1 for all frames: {value column name: wide report} -> long table.
+
+    The frames should be stored tables: whether they repeat a key is counted first,
+    from their key columns, and normally none does.
+    """
+    recent = {n: since(df, as_of, M.ROLLING_WINDOW_DAYS) for n, df in frames.items()}
+    packed = reduce(DataFrame.unionByName, [pack(df, i, n) for i, (n, df) in enumerate(recent.items())])
+    return combine_packed(packed, list(frames)) if _repeats(recent) else combine_unique(packed, list(frames))
+
+
+def _listed(rows: DataFrame, names: list[str]) -> DataFrame:
+    """One row for each metric of rows that hold each source's values in an array."""
+    metrics = F.array(*[
+        F.struct(F.lit(i).alias("pos"), F.lit(label).alias("metric"),
+                 F.lit(order).alias("column_order"), F.lit(color).alias("color"))
+        for i, (label, _, order, color) in enumerate(M.CATALOGUE)
+    ])
+    long = rows.select(*LONG_KEYS, *names, F.explode(metrics).alias("_m"))
+    return long.select(
+        *LONG_KEYS,
+        F.col("_m.metric").alias("metric"),
+        F.col("_m.column_order").alias("column_order"),
+        F.col("_m.color").alias("color"),
+        *[F.col(n)[F.col("_m.pos")].cast(value_type(n)).alias(n) for n in names],
     )
-    return combine_packed(packed, list(frames))
+
+
+def combine_unique(packed: DataFrame, names: list[str]) -> DataFrame:
+    """J4 + T1 of ``pack``ed frames none of which has a key twice, or a null in one.
+
+    A key then has one row a source at most, and these are gathered by a hash
+    aggregation, which neither sorts nor compares arrays.
+    """
+    gathered = packed.groupBy(*LONG_KEYS).agg(F.map_from_entries(F.collect_list(F.struct("_src", "_values"))).alias("_by"))
+    return _listed(gathered.select(*LONG_KEYS, *[F.col("_by")[i].alias(n) for i, n in enumerate(names)]), names)
 
 
 def combine_packed(packed: DataFrame, names: list[str]) -> DataFrame:
@@ -117,16 +154,4 @@ def combine_packed(packed: DataFrame, names: list[str]) -> DataFrame:
         *keys, *[F.when(F.col("_src") == i, F.col("_values")).alias(n) for i, n in enumerate(names)])
     rows = grouped.where(~repeated).select(*keys, *names).unionByName(
         _products(several, keys, names).select(*keys, *names)).unionByName(alone)
-    metrics = F.array(*[
-        F.struct(F.lit(i).alias("pos"), F.lit(label).alias("metric"),
-                 F.lit(order).alias("column_order"), F.lit(color).alias("color"))
-        for i, (label, _, order, color) in enumerate(M.CATALOGUE)
-    ])
-    long = rows.select(*keys, *names, F.explode(metrics).alias("_m"))
-    return long.select(
-        *keys,
-        F.col("_m.metric").alias("metric"),
-        F.col("_m.column_order").alias("column_order"),
-        F.col("_m.color").alias("color"),
-        *[F.col(n)[F.col("_m.pos")].cast(value_type(n)).alias(n) for n in names],
-    )
+    return _listed(rows, names)

@@ -7,9 +7,10 @@ Two ways to run them:
   is built: whether the lookup is small enough to broadcast, and for the long
   report whether ``ly_date`` is always 364 days back.
 * ``run_job`` is the production job: it computes each period's store-level
-  frame once (persisted), writes the twelve wide tables, then builds the long
-  table from the *written* tables (reading back cuts the lineage and lets
-  Parquet statistics skip everything older than the 91-day window).
+  frame once (persisted), writes the twelve wide tables (the last-year reports
+  read this year's written one), then builds the long table from the *written*
+  tables (reading back cuts the lineage and lets Parquet statistics skip
+  everything older than the 91-day window).
 
 One ``as_of`` date is fixed on the driver for the whole run, so every report
 of one run uses the same "today".
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .. import metrics as M
 from .. import schemas
-from ..checks import ly_date_offsets
+from ..checks import has_nameless, ly_date_offsets
 from ..operators.compare import compare_last_year, compare_tagged
 from ..operators.filters import since
 from ..operators.levels import full_union, tagged_union
@@ -42,7 +43,7 @@ from ..sinks.writer import write_report
 # Periods whose last-year match is the row's own ly_date (J1); the others use
 # the prior year re-accumulated on the shifted calendar.
 SELF_MATCHED = ("daily", "week")
-TAGS = ("_period", "_comp", "_match")  # of a frame, and the date on which its rows meet last year's
+TAGS = ("_period", "_match")  # of a frame, and the date on which its rows meet last year's
 
 
 def table_name(period: str, view: str) -> str:
@@ -60,14 +61,14 @@ def date_literal(value: str | _dt.date | Column | None) -> Column:
     return F.lit(str(day)).cast("date")
 
 
-def store_frame(base: DataFrame, period: str) -> DataFrame:
+def store_frame(base: DataFrame, period: str, nameless: bool = True) -> DataFrame:
     """Store rows of one period: the base itself (daily) or its running sums."""
-    return base if period == "daily" else period_to_date(base, period)
+    return base if period == "daily" else period_to_date(base, period, nameless=nameless)
 
 
-def shifted_store_frame(base: DataFrame, period: str, as_of: Column) -> DataFrame:
+def shifted_store_frame(base: DataFrame, period: str, as_of: Column, nameless: bool = True) -> DataFrame:
     """The prior year accumulated on the shifted (ny_date) calendar."""
-    return period_to_date(past_year_slice(base, as_of), period, "ny_date")
+    return period_to_date(past_year_slice(base, as_of), period, "ny_date", nameless)
 
 
 @dataclass
@@ -87,6 +88,10 @@ class Reports:
             self._memo[key] = build()
         return self._memo[key]
 
+    @property
+    def nameless(self) -> bool:
+        return self._once("nameless", lambda: has_nameless(self.base))
+
     @property
     def lookup_side(self) -> DataFrame:
         if self._lookup_prepared is None:
@@ -97,11 +102,11 @@ class Reports:
         return with_open_date(df, self.lookup_side, prepared=True)
 
     def stores(self, period: str) -> DataFrame:
-        return self._once(("stores", period), lambda: store_frame(self.base, period))
+        return self._once(("stores", period), lambda: store_frame(self.base, period, self.nameless))
 
     def shifted_stores(self, period: str) -> DataFrame:
         return self._once(("shifted", period),
-                          lambda: shifted_store_frame(self.base, period, self.as_of))
+                          lambda: shifted_store_frame(self.base, period, self.as_of, self.nameless))
 
     def ty(self, period: str) -> DataFrame:
         """R1, R4, R7, R10."""
@@ -156,16 +161,16 @@ class Reports:
         days = M.ROLLING_WINDOW_DAYS
         now, last = [], []
         for p in M.PERIODS:
-            every = store_frame(base, p)
+            every = store_frame(base, p, self.nameless)
             now.append(self._tagged(since(every, self.as_of, days), p, "report_date" if p not in SELF_MATCHED else "ly_date"))
             if p in SELF_MATCHED:  # no upper end: rows after as_of are shown
                 past = since(every, self.as_of, days + M.LY_SHIFT_DAYS) if exact else every
                 last.append(self._tagged(past, p, "report_date"))
             else:
-                past = since(shifted_store_frame(base, p, self.as_of), self.as_of, days + M.LY_SHIFT_DAYS)
+                past = since(shifted_store_frame(base, p, self.as_of, self.nameless), self.as_of, days + M.LY_SHIFT_DAYS)
                 last.append(self._tagged(past, p, f"date_add(report_date, {M.LY_SHIFT_DAYS})"))
-        wide, prior = (tagged_union(self._both_masks(reduce(DataFrame.unionByName, x)), TAGS, "_comp") for x in (now, last))
-        changes = compare_tagged(wide, prior, TAGS)
+        wide, prior = (tagged_union(reduce(DataFrame.unionByName, x), TAGS, "_comp") for x in (now, last))
+        changes = compare_tagged(wide, prior, (*TAGS, "_comp"))
         names = list(schemas.VALUE_COLUMNS)
         number = lambda view: reduce(
             lambda rest, p: F.when(F.col("_period") == p, names.index(f"{M.PERIOD_TAG[p]}_{view}")).otherwise(rest),
@@ -179,10 +184,6 @@ class Reports:
         opened = self.with_open(stores.select(*columns))
         return opened.select(*columns, "store_open_date", F.lit(period).alias("_period"), F.expr(match).alias("_match"))
 
-    @staticmethod
-    def _both_masks(stores: DataFrame) -> DataFrame:
-        return stores.withColumn("_comp", F.explode(F.array(F.lit(False), F.lit(True))))
-
 
 def combined_first_date(as_of: Column) -> Column:
     """Oldest base date the 91-day long report depends on.
@@ -199,12 +200,23 @@ def combined_first_date(as_of: Column) -> Column:
     )
 
 
-def _period_job(base: DataFrame, lk: DataFrame, period: str, day: Column, save) -> None:
+def _as_computed(written: DataFrame) -> DataFrame:
+    """A written this-year report with its count ratios as the doubles they were.
+
+    A double rounded to two digits and the decimal it was written as name each other,
+    so changes computed from the table are those computed from the frame.
+    """
+    ratios = [k.name for k in M.KPIS if k.double]
+    return written.withColumns({c: F.col(c).cast("double") for c in ratios})
+
+
+def _period_job(base: DataFrame, lk: DataFrame, period: str, day: Column, nameless: bool, save, stored) -> None:
     """Write one period's three wide reports.
 
-    The store-level frame and every stacked frame (this year, comp, and the
-    shifted prior-year ones) are persisted: each feeds a write and one or two
-    join sides, so its window, rollup and KPIs are computed once.
+    This year's report is written, and read again for the comparison: a table needs
+    no memory, and losing an executor costs no recomputation.  Only what feeds
+    two plans and is not written is persisted: the store rows with their running sums
+    (38 measures, no KPIs), and a comp frame that meets itself.
     """
     level = StorageLevel.MEMORY_AND_DISK
     held: list[DataFrame] = []
@@ -213,21 +225,20 @@ def _period_job(base: DataFrame, lk: DataFrame, period: str, day: Column, save)
         held.append(df.persist(level))
         return df
 
-    # the daily store frame is the caller's base itself: its caching is the caller's
-    current = base if period == "daily" else keep(store_frame(base, period))
-    ty = keep(full_union(current, period))
-    cur_comp = keep(full_union(with_open_date(current, lk, prepared=True), period, comp=True))
-    if period in SELF_MATCHED:
-        ly = compare_last_year(ty)
-        comp = compare_last_year(cur_comp)
-    else:
-        prior = keep(shifted_store_frame(base, period, day))
-        ly = compare_last_year(ty, keep(full_union(prior, period)))
-        comp = compare_last_year(
-            cur_comp, keep(full_union(with_open_date(prior, lk, prepared=True), period, comp=True))
-        )
+    def stack(stores: DataFrame, comp: bool = False) -> DataFrame:
+        return full_union(with_open_date(stores, lk, prepared=True) if comp else stores, period, comp)
+
     try:
-        save(ty, schemas.ty_contract(period), table_name(period, "ty"))
+        # the daily store frame is the caller's base itself: its caching is the caller's
+        current = base if period == "daily" else keep(store_frame(base, period, nameless))
+        contract = schemas.ty_contract(period)
+        ty = _as_computed(stored(save(stack(current), contract, table_name(period, "ty"))))
+        if period in SELF_MATCHED:
+            ly, comp = compare_last_year(ty), compare_last_year(keep(stack(current, comp=True)))
+        else:
+            prior = keep(shifted_store_frame(base, period, day, nameless))
+            ly = compare_last_year(ty, stack(prior))
+            comp = compare_last_year(stack(current, comp=True), stack(prior, comp=True))
         save(ly, schemas.COMPARISON, table_name(period, "ly"))
         save(comp, schemas.COMPARISON, table_name(period, "comp"))
     finally:
@@ -251,10 +262,11 @@ def run_job(spark: SparkSession, base: DataFrame, lookup: DataFrame, out_root: s
         raise ValueError("name either a folder or a database for the reports")
     day = date_literal(as_of)
     lk = prepare_lookup(lookup)
+    nameless = has_nameless(base)
     paths: dict[str, str] = {}
     stored = spark.read.parquet if database is None else spark.table
 
-    def save(df: DataFrame, contract, name: str) -> None:
+    def save(df: DataFrame, contract, name: str) -> str:
         start = time.perf_counter()
         if database is None:
             paths[name] = os.path.join(out_root, name)
@@ -264,9 +276,10 @@ def run_job(spark: SparkSession, base: DataFrame, lookup: DataFrame, out_root: s
             write_report(df, contract, table=paths[name])
         if timings is not None:
             timings[name] = round(time.perf_counter() - start, 3)
+        return paths[name]
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        for f in [pool.submit(_period_job, base, lk, p, day, save) for p in periods]:
+        for f in [pool.submit(_period_job, base, lk, p, day, nameless, save, stored) for p in periods]:
             f.result()
 
     if set(periods) == set(M.PERIODS):  # the long table needs all twelve frames

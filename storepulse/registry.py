@@ -103,8 +103,8 @@ def _comp_rollup(spark, d):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "scan_report_base": lambda spark, d: derive_report_base(spark, d),
-    "scan_store_lookup": lambda spark, d: derive_store_lookup(spark, d),
+    "scan_report_base": _base,
+    "scan_store_lookup": lambda spark, d: reports(spark, d).lookup,
     "past_year_slice": lambda spark, d: past_year_slice(_base(spark, d), date_literal(AS_OF)),
     "filter_stores": lambda spark, d: filter_stores(_base(spark, d)),
     "filter_online": lambda spark, d: filter_online(_base(spark, d)),

@@ -1,26 +1,92 @@
-"""K1-K7: save a report under its contract.
-
-The contract is chosen by an explicit argument, never by the table name.
-``mode('overwrite')`` is the full refresh; the write is a Spark job whose
-output is only committed when every task succeeded, so a lost executor
-means retried tasks, not a half-written table.  Rows are sorted by date
-within each task so Parquet row-group statistics let date-bounded readers
-(the 91-day long report) skip old row groups.
+"""K1-K7: save a report under its contract, as a full refresh that survives failure.
+
+The contract is chosen by an explicit argument, never by the table name.  A
+refresh is written beside the present table and takes its place only when
+every task has succeeded: until then, and after a failed job, readers find the
+table as it was.  The switch is two renames (the present one aside, the new one
+into place); if the second fails the first is undone.  What a run leaves
+aside when its driver dies between or before them is found by name
+(``<table>__new_...``, ``<table>__old_...``).
+
+Rows are sorted by date within each task, so Parquet row-group statistics let
+date-bounded readers (the 91-day long report) skip old row groups.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..schemas import conform
 
 
-def write_report(df: DataFrame, contract: T.StructType, path: str | None = None,
-                 table: str | None = None, mode: str = "overwrite") -> None:
-    out = conform(df, contract).sortWithinPartitions("report_date")
-    writer = out.write.mode(mode)
-    if table:
-        writer.saveAsTable(table)
+def write_report(df: DataFrame, contract: T.StructType, path: str | None = None, table: str | None = None) -> None:
+    """Replace the Parquet folder ``path`` or the catalog table ``table`` by ``df`` under its contract."""
+    if (path is None) == (table is None):
+        raise ValueError("name either a path or a table")
+    spark, out = df.sparkSession, conform(df, contract).sortWithinPartitions("report_date")
+    run = uuid.uuid4().hex[:12]
+    if path is not None:
+        path = path.rstrip("/")
+        fresh, aside = (f"{path}__{kind}_{run}" for kind in ("new", "old"))
+        try:
+            out.write.parquet(fresh)
+            _switch_folder(spark, path, fresh, aside)
+        except BaseException:
+            _delete(spark, fresh)
+            raise
+        _delete(spark, aside)
     else:
-        writer.parquet(path)
+        fresh, aside = (f"{table}__{kind}_{run}" for kind in ("new", "old"))
+        try:
+            out.write.format("parquet").saveAsTable(fresh)
+            _switch_table(spark, table, fresh, aside)
+        except BaseException:
+            spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+            raise
+        spark.sql(f"DROP TABLE IF EXISTS {aside}")
+
+
+def _files(spark: SparkSession, path: str):
+    """(file system, path) as the session's Hadoop configuration has them."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, at = _files(spark, path)
+    if fs.exists(at):
+        fs.delete(at, True)
+
+
+def _rename(spark: SparkSession, path: str, to: str) -> None:
+    fs, at = _files(spark, path)
+    if not fs.rename(at, _files(spark, to)[1]):
+        raise OSError(f"{path} can't be renamed to {to}")
+
+
+def _switch_folder(spark: SparkSession, path: str, fresh: str, aside: str) -> None:
+    fs, at = _files(spark, path)
+    had = fs.exists(at)
+    if had:
+        _rename(spark, path, aside)
+    try:
+        _rename(spark, fresh, path)
+    except BaseException:
+        if had:
+            _rename(spark, aside, path)
+        raise
+
+
+def _switch_table(spark: SparkSession, table: str, fresh: str, aside: str) -> None:
+    had = spark.catalog.tableExists(table)
+    if had:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {aside}")
+    try:
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    except BaseException:
+        if had:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
+        raise

@@ -9,6 +9,8 @@ paths; nothing else changes.
 from __future__ import annotations
 
 import os
+import re
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -38,18 +40,61 @@ def checked(df: DataFrame, schema: T.StructType, name: str) -> DataFrame:
     return df.select(*[f.name for f in schema.fields])
 
 
-def _stored(spark: SparkSession, path: str | None, table: str | None) -> DataFrame:
-    """A table's or a Parquet folder's own columns and types (of a folder, from one file's footer)."""
+def footer_columns(spark: SparkSession, files: list[str]) -> dict[tuple[tuple[str, str], ...], list[str]]:
+    """{((column, stored type), ...): files} of Parquet files, from their footers alone.
+
+    Footers are read by Parquet's own parallel reader through the file system of each path; nothing
+    but their schemas comes back.
+    """
+    conf = spark._jsc.hadoopConfiguration()
+    statuses = spark._jvm.java.util.ArrayList()
+    for f in files:
+        at = spark._jvm.org.apache.hadoop.fs.Path(f)
+        statuses.add(at.getFileSystem(conf).getFileStatus(at))
+    found: dict[tuple[tuple[str, str], ...], list[str]] = {}
+    for footer in spark._jvm.org.apache.parquet.hadoop.ParquetFileReader.readAllFootersInParallel(conf, statuses, True):
+        text = footer.getParquetMetadata().getFileMetaData().getSchema().toString()
+        columns = []
+        for line in text.splitlines():
+            m = re.fullmatch(r"  (?:optional|required) (\S+) (\S+?)( \(.*\))?;", line)
+            if m:  # columns of single values
+                columns.append((m[2], m[1] + (m[3] or "")))
+        found.setdefault(tuple(columns), []).append(footer.getFile().toString())
+    return found
+
+
+def same_in_all_files(df: DataFrame, schema: T.StructType, name: str) -> DataFrame:
+    """``df``, or an error that names the files of it that lack a column of ``schema`` or store it as another type.
+
+    Spark takes a folder's schema from one file, and reads a column that another file lacks as null.
+    """
+    names = [f.name for f in schema.fields]
+    kinds = {}
+    for columns, files in footer_columns(df.sparkSession, [unquote(f) for f in df.inputFiles()]).items():
+        have = dict(columns)
+        kinds.setdefault(tuple(have.get(n, "no such column") for n in names), []).extend(files)
+    if len(kinds) > 1:
+        first, *others = sorted(kinds, key=lambda k: -len(kinds[k]))
+        told = "; ".join(f"{sorted(kinds[k])[0]} has " + ", ".join(f"{n}: {b}, not {a}" for n, a, b in zip(names, first, k) if a != b)
+                         for k in others)
+        raise ValueError(f"{name}: files differ: {told}")
+    return df
+
+
+def _stored(spark: SparkSession, path: str | None, table: str | None, schema: T.StructType, name: str) -> DataFrame:
+    """A table's, or a Parquet folder's columns of ``schema``, which all of the folder's files have."""
     if (path is None) == (table is None):
         raise ValueError("name either a path or a table")
-    return spark.table(table) if table else spark.read.parquet(path)
+    if table:
+        return checked(spark.table(table), schema, name)
+    return checked(same_in_all_files(spark.read.parquet(path), schema, name), schema, name)
 
 
 def read_report_base(spark: SparkSession, path: str | None = None, table: str | None = None) -> DataFrame:
-    """The store-by-day fact table; a missing, renamed or differently typed column is an error."""
-    return checked(_stored(spark, path, table), schemas.REPORT_BASE, "report base")
+    """The store-by-day fact table; a missing, renamed or differently typed column, in any file, is an error."""
+    return _stored(spark, path, table, schemas.REPORT_BASE, "report base")
 
 
 def read_store_lookup(spark: SparkSession, path: str | None = None, table: str | None = None) -> DataFrame:
     """S3: the store dimension (opening dates), checked like the base."""
-    return checked(_stored(spark, path, table), schemas.STORE_LOOKUP, "store lookup")
+    return _stored(spark, path, table, schemas.STORE_LOOKUP, "store lookup")
