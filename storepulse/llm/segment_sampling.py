@@ -20,8 +20,9 @@ entry, with their total probability, which is split only if its turn comes (the
 chance is about 1e-8 a text): nothing is left out.
 
 Pieces never join a character and a space after it, so the lattice of a text is
-a chain of those of its words.  Blocks of texts build the lattices of their
-different words once and draw for all texts in step.  All noise comes from a hash of
+a chain of those of its words.  A task builds the lattices of different
+words once, for as many blocks of texts as fit ``MOST_EDGES``, and draws for all
+texts of a block in step.  All noise comes from a hash of
 the row's key, the round and the place in the text: a text's samples don't
 depend on how the table is partitioned (its scores do by rounding, about 1e-12).
 
@@ -51,6 +52,7 @@ ALPHA = 1.0
 SEED = 7
 REACH = 20.0
 BLOCK_CHARS = 2_000_000
+MOST_EDGES = 6_000_000  # 25 bytes each
 DECODE_IDS = 1 << 18
 SPACE = "▁"
 _B = np.uint64(0x9E3779B97F4A7C15)
@@ -143,72 +145,139 @@ class Vocabulary:
         return tuple(x[order] for x in cat)
 
 
-class Block:
-    """The lattices of the different words of some texts, and the texts as chains of them."""
+class Grown:
+    """An array that grows at its end."""
+
+    def __init__(self, dtype: type):
+        self.room, self.size = np.empty(1 << 12, dtype), 0
+
+    def add(self, x: np.ndarray) -> None:
+        if self.size + x.size > self.room.size:
+            room = np.empty(max(2 * self.room.size, self.size + x.size), self.room.dtype)
+            room[:self.size] = self.room[:self.size]
+            self.room = room
+        self.room[self.size:self.size + x.size] = x
+        self.size += x.size
+
+    @property
+    def all(self) -> np.ndarray:
+        return self.room[:self.size]
+
+
+class Lattices:
+    """The lattices of different words, kept for the blocks of a task up to about ``MOST_EDGES`` edges.
 
-    def __init__(self, vocabulary: Vocabulary, texts: list[str]):
+    Nodes are a word's places and its end, one word after the other; edges are in the order of their nodes.
+    """
+
+    def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.n = len(texts)
-        raw = [(" " + t.replace(SPACE, " ")).encode("utf-8", "surrogatepass") if t else b"" for t in texts]
-        data = np.frombuffer(b"".join(raw), np.uint8)
-        offsets = np.r_[0, np.cumsum([len(r) for r in raw])].astype(np.int64)
-        start = np.zeros(data.size + 1, bool)
-        if data.size:
-            alone = vocabulary.alone[data]
-            start[1:-1] = ((data[1:] == 32) & (data[:-1] != 32)) | alone[1:] | alone[:-1]
-            start[offsets] = True
-        at = np.flatnonzero(start[:-1])
-        until = np.r_[at[1:], data.size].astype(np.int64)
-        self.doc = np.searchsorted(offsets, at, "right") - 1  # of each word
-        self.n_words = np.bincount(self.doc, minlength=self.n)
-        self.first_word = np.cumsum(self.n_words) - self.n_words
-        h = hashes(data, at, until) if at.size else np.zeros(0, np.uint64)
-        _, one, self.kind = np.unique(h, return_index=True, return_inverse=True)
-        # the characters of the different words
-        n_bytes = until[one] - at[one]
+        self.clear()
+
+    def clear(self) -> None:
+        self.hash, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # of the words, by hash
+        self.base, self.end = Grown(np.int64), Grown(np.int64)  # nodes of each word
+        self.char, self.first_edge = Grown(np.uint64), Grown(np.int64)  # of each node
+        self.first_edge.add(np.zeros(1, np.int64))
+        self.node, self.step, self.ids = Grown(np.int32), Grown(np.int16), Grown(np.int32)  # of each edge
+        self.share, self.part = Grown(np.float64), Grown(np.float64)
+
+    def numbers(self, h: np.ndarray, data: np.ndarray, at: np.ndarray, until: np.ndarray) -> np.ndarray:
+        """The numbers of words, given by their sorted different hashes and their bytes; new ones are added."""
+        if self.node.size > MOST_EDGES:
+            self.clear()
+        k = np.minimum(np.searchsorted(self.hash, h), max(self.hash.size - 1, 0))
+        known = self.hash[k] == h if self.hash.size else np.zeros(h.size, bool)
+        new = np.flatnonzero(~known)
+        if new.size:
+            first = self.base.size
+            self._add(data, at[new], until[new])
+            place = np.searchsorted(self.hash, h[new])
+            self.hash = np.insert(self.hash, place, h[new])
+            self.number = np.insert(self.number, place, np.arange(first, first + new.size))
+        return self.number[np.searchsorted(self.hash, h)]
+
+    def _add(self, data: np.ndarray, at: np.ndarray, until: np.ndarray) -> None:
+        # the characters of the words
+        n_bytes = until - at
         raw_until = np.cumsum(n_bytes)
-        source = np.arange(int(n_bytes.sum())) + np.repeat(at[one] - raw_until + n_bytes, n_bytes)
+        source = np.arange(int(n_bytes.sum())) + np.repeat(at - raw_until + n_bytes, n_bytes)
         raw = data[source]
-        size = np.add.reduceat((raw & 0xC0) != 0x80, raw_until - n_bytes, dtype=np.int64) if one.size else np.zeros(0, np.int64)
+        size = np.add.reduceat((raw & 0xC0) != 0x80, raw_until - n_bytes, dtype=np.int64)
         chars = np.frombuffer(raw.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
         chars[chars == 32] = ord(SPACE)
-        # nodes: a word's places, and its end
-        self.base = np.cumsum(size + 1) - size - 1
-        self.end = self.base + size
+        base = np.cumsum(size + 1) - size - 1
+        end = base + size
         n_nodes = int(size.sum() + size.size)
         inner = np.ones(n_nodes, bool)
-        inner[self.end] = False
+        inner[end] = False
         node = np.flatnonzero(inner)
-        left = np.repeat(self.end, size) - node
-        self.char = np.zeros(n_nodes, np.uint64)
-        self.char[node] = chars
-        at, self.step, weight, self.ids = vocabulary.edges(np.r_[chars, np.zeros(vocabulary.longest, np.uint64)], left)
-        self.node = node[at]  # of each edge, in order
-        self.first_edge = np.searchsorted(self.node, np.arange(n_nodes + 1))
+        left = np.repeat(end, size) - node
+        char = np.zeros(n_nodes, np.uint64)
+        char[node] = chars
+        of, step, weight, ids = self.v.edges(np.r_[chars, np.zeros(self.v.longest, np.uint64)], left)
+        start = node[of]  # of each edge, in order
+        first_edge = np.searchsorted(start, np.arange(n_nodes + 1))
         # log of the summed weight from a node to its word's end, from the ends back
         total = np.full(n_nodes, -np.inf)
-        total[self.end] = 0.0
-        self.share = weight  # becomes the log share of an edge among all ways on
-        order = np.argsort(_small(left[at]), kind="stable")
-        size = np.bincount(left[at], minlength=1)
+        total[end] = 0.0
+        share = weight  # becomes the log share of an edge among all ways on
+        order = np.argsort(_small(left[of]), kind="stable")
+        size = np.bincount(left[of], minlength=1)
         until = np.cumsum(size)
         for r in np.flatnonzero(size):
             e = order[until[r] - size[r]:until[r]]
-            x = self.node[e]
-            w = weight[e] + total[x + self.step[e]]
+            x = start[e]
+            w = weight[e] + total[x + step[e]]
             first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
             n_ways = np.diff(np.r_[first, x.size])
             top = np.maximum.reduceat(w, first)
             here = top + np.log(np.add.reduceat(np.exp(w - np.repeat(top, n_ways)), first))
             total[x[first]] = here
-            self.share[e] = w - np.repeat(here, n_ways)
-        # a node's edges share the interval from the node's number to the next
-        part = np.cumsum(np.exp(self.share))
-        at_first = self.first_edge[self.node]
-        self.mark = self.node + (part - part[at_first] + np.exp(self.share[at_first]))
-        if self.node.size:
-            last = np.r_[self.node[1:] != self.node[:-1], True]
-            self.mark[last] = self.node[last] + 1.0
+            share[e] = w - np.repeat(here, n_ways)
+        # a node's edges share the interval from 0 to 1: where each one's part ends
+        each = np.exp(share)
+        part = np.cumsum(each)
+        at_first = first_edge[start]
+        part = part - part[at_first] + each[at_first]
+        if start.size:
+            part[np.r_[start[1:] != start[:-1], True]] = 1.0
+        n, n_edges = self.char.size, self.node.size
+        self.base.add(base + n)
+        self.end.add(end + n)
+        self.char.add(char)
+        self.first_edge.size -= 1  # its last stands for the end
+        self.first_edge.add(first_edge + n_edges)
+        self.node.add(start + n)
+        for kept, x in ((self.step, step), (self.ids, ids), (self.share, share), (self.part, part)):
+            kept.add(x)
+
+
+class Block:
+    """Some texts as chains of words, whose lattices are those of ``lattices``."""
+
+    def __init__(self, vocabulary: Vocabulary, texts: list[str], lattices: Lattices | None = None):
+        self.v = vocabulary
+        self.n = len(texts)
+        raw = [(" " + t.replace(SPACE, " ")).encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        offsets = np.r_[0, np.cumsum([len(r) for r in raw])].astype(np.int64)
+        start = np.zeros(data.size + 1, bool)
+        if data.size:
+            alone = vocabulary.alone[data]
+            start[1:-1] = ((data[1:] == 32) & (data[:-1] != 32)) | alone[1:] | alone[:-1]
+            start[offsets] = True
+        at = np.flatnonzero(start[:-1])
+        until = np.r_[at[1:], data.size].astype(np.int64)
+        self.doc = np.searchsorted(offsets, at, "right") - 1  # of each word
+        self.n_words = np.bincount(self.doc, minlength=self.n)
+        self.first_word = np.cumsum(self.n_words) - self.n_words
+        h = hashes(data, at, until) if at.size else np.zeros(0, np.uint64)
+        h, one, kind = np.unique(h, return_index=True, return_inverse=True)
+        own = lattices or Lattices(vocabulary)
+        self.kind = own.numbers(h, data, at[one], until[one])[kind]
+        self.base, self.end, self.char, self.first_edge, self.node, self.step, self.ids, self.share, self.part = (
+            x.all for x in (own.base, own.end, own.char, own.first_edge, own.node, own.step, own.ids, own.share, own.part))
 
     def draw(self, seed: np.ndarray, serial: np.ndarray, word: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, ...]:
         """Complete words from given nodes: (word, edge) of each piece, by word and place."""
@@ -218,11 +287,11 @@ class Block:
         while word.size:
             d = self.doc[word]
             u = uniform(seed[d], 1, serial[d], word - self.first_word[d], k)
-            edge, u = self.first_edge[node], node + u
-            low = np.flatnonzero(self.mark[edge] < u)
+            edge = self.first_edge[node]
+            low = np.flatnonzero(self.part[edge] < u)
             while low.size:  # likely edges come first
                 edge[low] += 1
-                low = low[self.mark[edge[low]] < u[low]]
+                low = low[self.part[edge[low]] < u[low]]
             out.append((word, edge))
             node = node + self.step[edge]
             on = node < self.end[self.kind[word]]
@@ -412,9 +481,9 @@ def row_seeds(keys: list, seed: int = SEED) -> np.ndarray:
 
 
 def sampled(vocabulary: Vocabulary, keys: list, texts: list[str | None], k: int = SAMPLES, seed: int = SEED,
-            reach: float = REACH) -> list[tuple]:
+            reach: float = REACH, lattices: Lattices | None = None) -> list[tuple]:
     """(text index, sample, ids as bytes, number of ids, log p, perturbed, log inclusion) of a block of texts."""
-    block = Block(vocabulary, [t or "" for t in texts])
+    block = Block(vocabulary, [t or "" for t in texts], lattices)
     found = []
     for item in search(block, row_seeds(keys, seed), k, reach):
         if item[0] is None:
@@ -487,16 +556,17 @@ def sample(docs: DataFrame, model: str, id_col: str = "doc_id", text: str = "tex
         *([T.StructField("decoded_crc32", T.LongType())] if with_decoded else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = decoder = None
+        vocabulary = lattices = decoder = None
         for batch in batches:
             vocabulary = vocabulary or Vocabulary(model, alpha)
+            lattices = lattices or Lattices(vocabulary)
             decoder = decoder or (Decoder(model) if with_decoded else None)
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             lo, held = 0, 0
             for hi in range(1, len(texts) + 1):
                 held += len(texts[hi - 1] or "")
                 if held >= BLOCK_CHARS or hi == len(texts):
-                    rows = sampled(vocabulary, keys[lo:hi], texts[lo:hi], k, seed)
+                    rows = sampled(vocabulary, keys[lo:hi], texts[lo:hi], k, seed, lattices=lattices)
                     i, number, raw, size, log_p, bound, inc = zip(*rows)
                     made = [pa.array([keys[lo + x] for x in i], batch.schema.field(0).type), pa.array(number, pa.int32()), pa.array(size, pa.int64()),
                             pa.array([zlib.crc32(r) for r in raw], pa.int64()), pa.array(log_p), pa.array(bound), pa.array(inc)]
