@@ -12,26 +12,36 @@ exceeds ``threshold`` of the sum of both.
 
 Host edges are the absolute links of pages (``href`` to ``//host``), weighted by
 their number, and, with ``family``, one link either way between a host and the
-host it is a subdomain of, if there are pages of both.  Links from a host to
-itself move nothing and are left out.
+domain above it, and between that and the one above, down to domains of two
+labels: these are nodes whether they have pages or not, so hosts under one
+domain are connected through it.  Links from a host to itself move nothing and
+are left out.
+
+Rounds go on until no score changes by more than ``TOLERANCE`` of the largest.
+A round passes on ``damping`` of what moved in the one before, so after
+``rounds_for(damping)`` rounds less than ``TOLERANCE`` of all mass is unmoved,
+whatever the graph; that is the last round at most.
 
 Scale: pages are reduced to hosts and pairs of hosts by partial aggregation
 before any shuffle, so a host with a third of all pages is a row a task; each
 round is one join of hosts with edges (which adaptive execution splits at a host
 with many links) and one sum.  Every fifth round is written to the checkpoint
-folder; if nothing moved in it, the rest is left out, as it would change nothing.
+folder and compared with the one before it.
 The rules are configuration and become part of the expression; nothing of the
 tables is broadcast by hand or collected.
 
 Defined results: null urls, and urls without ``://``, have an empty host and
 path, no rule, and count as links' source no more than as a seed: they are
-allowed.  Null html has no links.  Hosts that neither kind of seed reaches are
+allowed.  Null html has no links.  Hosts of over 253 characters are no domains and
+have none above them.  Hosts that neither kind of seed reaches are
 allowed.  Repeated rows each count and each get their row.  An empty table
 gives an empty result; extra columns are left out.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,14 +56,20 @@ RULES = (
     ("block", "com/de/"),
 )
 DAMPING = 0.85
-ROUNDS = 20
+TOLERANCE = 1e-6
 WRITTEN = 5  # rounds until scores are written and compared with those of the round before
 THRESHOLD = 0.5
-EPSILON = 1e-9  # beyond rounding; ties are allowed
+EPSILON = 1e-5  # of a host's sum, beyond what the tolerance leaves open; ties are allowed
+LONGEST_DOMAIN = 253
 LINK = r"""[Hh][Rr][Ee][Ff][\t\n\f\r ]*=[\t\n\f\r ]*["']?[\t\n\f\r ]*(?:[Hh][Tt][Tt][Pp][Ss]?:)?//([^/?#"'<>\\\t\n\f\r ]+)"""
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def rounds_for(damping: float) -> int:
+    """Rounds after which less than ``TOLERANCE`` of the mass is unmoved."""
+    return math.ceil(math.log(TOLERANCE) / math.log(damping)) if 0 < damping < 1 else 1
+
+
 def _after(url: Column) -> Column:
     at = F.instr(url, "://")
     return F.when(F.coalesce(at, F.lit(0)) > 0, F.substr(url, at + 3)).otherwise("")
@@ -99,9 +115,12 @@ def host_edges(judged: DataFrame, family: bool = True) -> DataFrame:
     edges = linked.select(F.col("host").alias("src"), F.translate("to", UPPER, LOWER).alias("dst")).where("src != dst")
     edges = edges.groupBy("src", "dst").agg(F.count("*").cast("double").alias("n"))
     if family:
-        hosts = judged.where("host != ''").select("host").distinct()
-        inner = hosts.select("host", F.regexp_extract("host", r"^[^.]*\.(.+)$", 1).alias("parent")).where("parent != ''")
-        pairs = inner.join(hosts.withColumnRenamed("host", "parent"), "parent")
+        hosts = judged.where("host != ''").select("host").distinct().where(F.length("host") <= LONGEST_DOMAIN)
+        labels = F.split("host", r"\.")
+        named = hosts.withColumn("labels", labels).where(F.size("labels") > 2)
+        above = named.select("labels", F.explode(F.sequence(F.lit(1), F.size("labels") - 2)).alias("at"))
+        join = lambda first: F.array_join(F.slice("labels", first, F.size("labels")), ".")
+        pairs = above.select(join(F.col("at")).alias("host"), join(F.col("at") + 1).alias("parent")).distinct()
         both = F.array(F.struct(F.col("host").alias("src"), F.col("parent").alias("dst")),
                        F.struct(F.col("parent").alias("src"), F.col("host").alias("dst")))
         kin = pairs.select(F.inline(both)).withColumn("n", F.lit(1.0))
@@ -109,7 +128,7 @@ def host_edges(judged: DataFrame, family: bool = True) -> DataFrame:
     return edges
 
 
-def host_scores(judged: DataFrame, family: bool = True, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def host_scores(judged: DataFrame, family: bool = True, damping: float = DAMPING) -> DataFrame:
     """(host, trust, distrust) of every host with pages, links or links to it."""
     edges = checkpointed(host_edges(judged, family))
     out_of = edges.groupBy("src").agg(F.sum("n").alias("out_n"))
@@ -128,6 +147,7 @@ def host_scores(judged: DataFrame, family: bool = True, damping: float = DAMPING
         (F.sum("good") * (1 - damping)).alias("good"), (F.sum("bad") * (1 - damping)).alias("bad"))
     start = checkpointed(start)
     scores = start.select("host", F.col("good").alias("trust"), F.col("bad").alias("distrust"))
+    rounds = rounds_for(damping)
     for k in range(1, rounds + 1):
         given = scores.withColumnRenamed("host", "giver").join(moves, "giver").select(
             "host", (F.col("trust") * F.col("t") * damping).alias("trust"), (F.col("distrust") * F.col("b") * damping).alias("distrust"))
@@ -136,20 +156,22 @@ def host_scores(judged: DataFrame, family: bool = True, damping: float = DAMPING
         if k % WRITTEN == 0 or k == rounds:
             both = checkpointed(scores.join(before.withColumnsRenamed({"trust": "was_t", "distrust": "was_b"}), "host"))
             scores = both.select("host", "trust", "distrust")
-            if both.where("trust != was_t OR distrust != was_b").isEmpty():  # nothing moves any more
+            moved = both.agg(F.max(F.greatest(F.abs(F.col("trust") - F.col("was_t")), F.abs(F.col("distrust") - F.col("was_b")))).alias("most"),
+                             F.max(F.greatest("trust", "distrust")).alias("largest")).first()
+            if (moved["most"] or 0.0) <= TOLERANCE * (moved["largest"] or 0.0):
                 break
     return scores
 
 
 def judge(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, family: bool = True, damping: float = DAMPING,
-          rounds: int = ROUNDS, threshold: float = THRESHOLD, id_col: str = "page_id", url_col: str = "url",
+          threshold: float = THRESHOLD, id_col: str = "page_id", url_col: str = "url",
           html_col: str = "html") -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust) of every page."""
     judged = judged_by_rules(pages, rules, id_col, url_col, html_col)
-    scores = host_scores(judged, family, damping, rounds)
+    scores = host_scores(judged, family, damping)
     zero = F.lit(0.0)
     trust, distrust = F.coalesce("trust", zero), F.coalesce("distrust", zero)
-    by_host = F.when(distrust > threshold * (trust + distrust) + EPSILON, "block").otherwise("allow")
+    by_host = F.when(distrust > (threshold + EPSILON) * (trust + distrust), "block").otherwise("allow")
     return judged.drop("html").join(scores, "host", "left").select(
         F.col("page_id").alias(id_col), "host", "path", "rule", F.coalesce("by_rule", by_host).alias("verdict"),
         trust.alias("trust"), distrust.alias("distrust"))
@@ -163,16 +185,11 @@ def _values(rules) -> str:
     return ", ".join(rows)
 
 
-def oracle_sql(rules: tuple[tuple[str, str], ...] = RULES, damping: float = DAMPING, rounds: int = ROUNDS,
-               threshold: float = THRESHOLD) -> str:
-    """The same verdicts in DuckDB SQL, each round a table expression."""
+def oracle_sql(rules: tuple[tuple[str, str], ...] = RULES, damping: float = DAMPING, threshold: float = THRESHOLD) -> str:
+    """The same verdicts in DuckDB SQL, the rounds as a recursion that always goes to the last."""
     link = LINK.replace("'", "''")
-    steps = "".join(f""",
-    s{k} AS MATERIALIZED (SELECT host, start.good + coalesce(t, 0) AS trust, start.bad + coalesce(b, 0) AS distrust
-        FROM start LEFT JOIN (SELECT moves.host, {damping} * sum(trust * t) AS t, {damping} * sum(distrust * b) AS b
-            FROM s{k - 1} JOIN moves ON s{k - 1}.host = giver GROUP BY moves.host) USING (host))""" for k in range(1, rounds + 1))
     return f"""
-WITH rules(verdict, rule, own, start) AS (VALUES {_values(rules)}),
+WITH RECURSIVE rules(verdict, rule, own, start) AS (VALUES {_values(rules)}),
     cut AS (SELECT page_id, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
     split AS (SELECT row_number() OVER () AS k, page_id, html, regexp_extract(rest, '^[^/?#]*') AS raw,
         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
@@ -181,16 +198,21 @@ WITH rules(verdict, rule, own, start) AS (VALUES {_values(rules)}),
         ON (host = own OR ends_with(host, '.' || own)) AND starts_with(path, start) GROUP BY k),
     judged AS MATERIALIZED (SELECT named.*, rule, by_rule FROM named LEFT JOIN fits USING (k)),
     found AS (SELECT host AS src, translate(unnest(regexp_extract_all(html, '{link}', 1)), '{UPPER}', '{LOWER}') AS dst FROM judged WHERE host != ''),
-    hosts AS (SELECT DISTINCT host FROM judged WHERE host != ''),
-    kin AS (SELECT a.host AS child, b.host AS parent FROM hosts a JOIN hosts b ON b.host = regexp_extract(a.host, '^[^.]*\\.(.+)$', 1)),
+    hosts AS (SELECT DISTINCT string_split(host, '.') AS labels FROM judged WHERE host != '' AND length(host) <= {LONGEST_DOMAIN}),
+    above AS (SELECT labels, unnest(range(1, len(labels) - 1)) AS place FROM hosts WHERE len(labels) > 2),
+    kin AS (SELECT DISTINCT array_to_string(labels[place:], '.') AS child, array_to_string(labels[place + 1:], '.') AS parent FROM above),
     edges AS MATERIALIZED (SELECT src, dst, sum(n)::DOUBLE AS n FROM (SELECT src, dst, 1 AS n FROM found WHERE src != dst
         UNION ALL SELECT child, parent, 1 FROM kin UNION ALL SELECT parent, child, 1 FROM kin) GROUP BY src, dst),
     shares AS (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS t, n / sum(n) OVER (PARTITION BY dst) AS b FROM edges),
-    moves AS MATERIALIZED (SELECT src AS giver, dst AS host, t, 0::DOUBLE AS b FROM shares UNION ALL SELECT dst, src, 0::DOUBLE, b FROM shares),
+    moves AS (SELECT src AS giver, dst AS host, t, 0::DOUBLE AS b FROM shares UNION ALL SELECT dst, src, 0::DOUBLE, b FROM shares),
     start AS MATERIALIZED (SELECT host, {1 - damping!r} * sum(good) AS good, {1 - damping!r} * sum(bad) AS bad FROM (
         SELECT host, (coalesce(by_rule, '') = 'allow')::DOUBLE AS good, (coalesce(by_rule, '') = 'block')::DOUBLE AS bad FROM judged WHERE host != ''
         UNION ALL SELECT host, 0, 0 FROM moves) GROUP BY host),
-    s0 AS (SELECT host, good AS trust, bad AS distrust FROM start){steps}
+    steps AS MATERIALIZED (SELECT giver, host, t, b, 0 AS own FROM moves UNION ALL SELECT host, host, 0, 0, 1 FROM start),
+    scores(k, host, good, bad, trust, distrust) AS (SELECT 0, host, good, bad, good, bad FROM start
+        UNION ALL SELECT k + 1, steps.host, sum(own * good), sum(own * bad), sum(own * good + {damping} * t * trust), sum(own * bad + {damping} * b * distrust)
+        FROM scores JOIN steps ON scores.host = giver WHERE k < {rounds_for(damping)} GROUP BY k, steps.host),
+    final AS (SELECT host, trust, distrust FROM scores WHERE k = {rounds_for(damping)})
 SELECT page_id, judged.host AS host, path, rule, coalesce(by_rule,
-    CASE WHEN coalesce(distrust, 0) > {threshold} * (coalesce(trust, 0) + coalesce(distrust, 0)) + {EPSILON} THEN 'block' ELSE 'allow' END) AS verdict
-FROM judged LEFT JOIN s{rounds} ON judged.host = s{rounds}.host"""
+    CASE WHEN coalesce(distrust, 0) > {threshold + EPSILON!r} * (coalesce(trust, 0) + coalesce(distrust, 0)) THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged LEFT JOIN final ON judged.host = final.host"""
