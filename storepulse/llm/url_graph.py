@@ -26,7 +26,8 @@ Scale: pages are reduced to hosts and pairs of hosts by partial aggregation
 before any shuffle, so a host with a third of all pages is a row a task; each
 round is one join of hosts with edges (which adaptive execution splits at a host
 with many links) and one sum.  Every fifth round is written to the checkpoint
-folder and compared with the one before it.
+folder and compared with the one before it.  The tasks of a round are as many as
+the graph's rows need (``TASK_ROWS``), not as many as the pages'.
 The rules are configuration and become part of the expression; nothing of the
 tables is broadcast by hand or collected.
 
@@ -61,6 +62,7 @@ WRITTEN = 5  # rounds until scores are written and compared with those of the ro
 THRESHOLD = 0.5
 EPSILON = 1e-5  # of a host's sum, beyond what the tolerance leaves open; ties are allowed
 LONGEST_DOMAIN = 253
+TASK_ROWS = 100_000
 LINK = r"""[Hh][Rr][Ee][Ff][\t\n\f\r ]*=[\t\n\f\r ]*["']?[\t\n\f\r ]*(?:[Hh][Tt][Tt][Pp][Ss]?:)?//([^/?#"'<>\\\t\n\f\r ]+)"""
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -146,13 +148,15 @@ def host_scores(judged: DataFrame, family: bool = True, damping: float = DAMPING
     start = seeds.unionByName(ends).groupBy("host").agg(
         (F.sum("good") * (1 - damping)).alias("good"), (F.sum("bad") * (1 - damping)).alias("bad"))
     start = checkpointed(start)
+    tasks = max(1, math.ceil((moves.count() + start.count()) / TASK_ROWS))
+    moves, start = moves.coalesce(tasks), start.coalesce(tasks)
     scores = start.select("host", F.col("good").alias("trust"), F.col("bad").alias("distrust"))
     rounds = rounds_for(damping)
     for k in range(1, rounds + 1):
         given = scores.withColumnRenamed("host", "giver").join(moves, "giver").select(
             "host", (F.col("trust") * F.col("t") * damping).alias("trust"), (F.col("distrust") * F.col("b") * damping).alias("distrust"))
         before, scores = scores, start.select("host", F.col("good").alias("trust"), F.col("bad").alias("distrust")).unionByName(
-            given).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
+            given).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")).coalesce(tasks)
         if k % WRITTEN == 0 or k == rounds:
             both = checkpointed(scores.join(before.withColumnsRenamed({"trust": "was_t", "distrust": "was_b"}), "host"))
             scores = both.select("host", "trust", "distrust")
