@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import checkpointed, map_arrow, without
+from .frames import checkpointed, map_arrow, unused, without
 from .quality_rules import _DIGIT, _LETTER, _STOP, _SYMBOL, _UPPER
 from .textbytes import blocks, hashes, lines, words
 
@@ -339,7 +339,7 @@ def with_score(docs: DataFrame, model: Crf, text: str = "text", carry: list[str]
         return pa.RecordBatch.from_arrays(
             [*batch.columns[:len(names)], pa.array(model.score(batch.column(batch.num_columns - 1)))], [*names, "score"])
 
-    given = docs.select(*names, F.col(text).cast("string").alias("__text"))
+    given = docs.select(*names, F.col(text).cast("string").alias(unused(docs, "text_of_row")))
     return map_arrow(given, one, T.StructType([*fields, T.StructField("score", T.DoubleType())]))
 
 
@@ -351,4 +351,4 @@ def keep(docs: DataFrame, model: Crf, least: float, text: str = "text") -> DataF
         good = model.score(batch.column(batch.num_columns - 1)) >= least
         return pa.RecordBatch.from_arrays(batch.columns[:len(names)], names).filter(pa.array(good))
 
-    return map_arrow(docs.select("*", F.col(text).cast("string").alias("__text")), one, docs.schema)
+    return map_arrow(docs.select("*", F.col(text).cast("string").alias(unused(docs, "text_of_row"))), one, docs.schema)

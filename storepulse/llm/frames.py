@@ -36,6 +36,14 @@ def without(schema: T.StructType, names: tuple[str, ...] | list[str]) -> list[T.
     return [f for f in schema.fields if f.name.lower() not in low]
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or it with underscores before it until ``df`` has no such column (in any case)."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name = f"_{name}"
+    return name
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None],
               schema: T.StructType) -> DataFrame:
     """``mapInArrow`` for a function of one batch; None gives no rows."""

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import map_arrow, shared_folder, without
+from .frames import map_arrow, shared_folder, unused, without
 from .textbytes import LOWER, blocks, hashes, mixed, words
 
 END = np.uint64(0x0E4D)
@@ -355,5 +355,5 @@ def with_score(docs: DataFrame, model: Model, text: str = "text", carry: list[st
         made = [n_tokens, n_known, np.full(len(texts), model.n), base, score, 10 ** np.minimum(-score / np.maximum(n_tokens, 1), 300)]
         return pa.RecordBatch.from_arrays([*batch.columns[:len(names)], *map(pa.array, made)], [*names, *OUT.names])
 
-    given = docs.select(*names, F.col(text).cast("string").alias("__text"))
+    given = docs.select(*names, F.col(text).cast("string").alias(unused(docs, "text_of_row")))
     return map_arrow(given, one, T.StructType([*fields, *OUT.fields]))

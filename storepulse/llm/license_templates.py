@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import license_texts
-from .frames import map_arrow, without
+from .frames import map_arrow, unused, without
 from .textbytes import LOWER, blocks, column_bytes, hashes, spans
 
 _WORD = np.zeros(256, bool)
@@ -293,5 +293,5 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: dict
         made = [pa.array(n), pa.array(places, place), pa.array(share)]
         return pa.RecordBatch.from_arrays([*batch.columns[:len(names)], *made], [*names, *OUT.names])
 
-    given = docs.select(*names, F.col(text).cast("string").alias("__text"))
+    given = docs.select(*names, F.col(text).cast("string").alias(unused(docs, "text_of_row")))
     return map_arrow(given, one, T.StructType([*fields, *OUT.fields]))

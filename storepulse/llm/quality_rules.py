@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import map_arrow, without
+from .frames import map_arrow, unused, without
 from .textbytes import SPACE, blocks, hashes, lines, mixed, per_row, summed, words
 
 WINDOW = 8  # words of a window whose repetition counts
@@ -255,7 +255,7 @@ def judge(docs: DataFrame, model: LabelModel, text: str = "text", least: float =
         made = [*(pa.array(c[k]) for k in BASE_COUNTS), pa.array(failed), pa.array(p), pa.array(~failed & (p >= least))]
         return pa.RecordBatch.from_arrays([*batch.columns[:len(names)], *made], [*names, *OUT.names])
 
-    given = docs.select(*names, F.col(text).cast("string").alias("__text"))
+    given = docs.select(*names, F.col(text).cast("string").alias(unused(docs, "text_of_row")))
     return map_arrow(given, one, T.StructType([*fields, *OUT.fields]))
 
 
@@ -270,4 +270,4 @@ def keep(docs: DataFrame, text: str = "text", least: float = 0.5) -> DataFrame:
         rows = pa.RecordBatch.from_arrays(batch.columns[:len(names)], names)
         return rows.filter(pa.array(kept))
 
-    return map_arrow(docs.select("*", F.col(text).cast("string").alias("__text")), one, docs.schema)
+    return map_arrow(docs.select("*", F.col(text).cast("string").alias(unused(docs, "text_of_row"))), one, docs.schema)

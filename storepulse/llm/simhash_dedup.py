@@ -196,15 +196,15 @@ def keep(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: i
     found = checkpointed(with_fingerprint(docs, id_col, text, shingle))
     group = linked(found, radius).select("fp", "root")
     first = found.join(group, "fp").groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "fp")).alias("x"))
-    first = first.select(F.col("x.id").alias("__id"), F.col("x.fp").alias("__fp"))
-    names = docs.columns
+    first = first.select(F.col("x.id").alias("first_id"), F.col("x.fp").alias("first_fp"))
+    # the document as one struct, so that its columns can have any names
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text).cast("string").alias("text"))
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fp = fingerprints(batch.column(batch.num_columns - 1), shingle).view(np.int64)
-        return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fp)], [*names, "__own"])
-
-    own = map_arrow(docs.select("*", F.col(text).cast("string").alias("__text")), one,
-                    T.StructType([*docs.schema.fields, T.StructField("__own", T.LongType())]))
-    kept = own.join(first, (F.col("__own") == F.col("__fp")) & F.col(id_col).eqNullSafe(F.col("__id")))
-    one_row = Window.partitionBy("__own", id_col).orderBy(F.lit(0))
-    return kept.withColumn("__n", F.row_number().over(one_row)).where("__n = 1").select(*names)
+        fp = fingerprints(batch.column(2), shingle).view(np.int64)
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fp)], ["row", "id", "fp"])
+
+    own = map_arrow(rows, one, T.StructType([rows.schema["row"], rows.schema["id"], T.StructField("fp", T.LongType())]))
+    kept = own.join(first, (F.col("fp") == F.col("first_fp")) & F.col("id").eqNullSafe(F.col("first_id")))
+    number = F.row_number().over(Window.partitionBy("fp", "id").orderBy(F.lit(0)))
+    return kept.select("row", number.alias("number")).where("number = 1").select("row.*")

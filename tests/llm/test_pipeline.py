@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -80,10 +81,23 @@ def test_stages_take_odd_rows(spark, docs):
             assert out.columns == docs.columns
 
 
+def test_keep_stages_leave_clashing_columns_alone(spark, docs):
+    """Columns called as helpers might be come through with their values."""
+    names = ["__text", "__own", "__id", "__fp", "__n", "row", "id", "fp", "number", "first_id", "first_fp", "text_of_row", "_text_of_row", "score", "kept"]
+    some = docs.limit(60)
+    more = some.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        out, plain = stage(spark, more, SF), stage(spark, some, SF)
+        assert out.columns == more.columns
+        rows = out.collect()
+        assert sorted(r["doc_id"] for r in rows) == sorted(r["doc_id"] for r in plain.collect()) and rows, name
+        assert all(r[n] == f"{n}{r['doc_id']}" for r in rows for n in names)
+
+
 def test_registered(spark):
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert "pipeline" in names and {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in names if k.startswith("op") and k[2].isdigit()}
+    assert "pipeline" in names and {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in names if k.startswith("op") and k[2].isdigit()}
     assert corpus_pipeline.ORACLE_SQL is None and [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "quality_classifier", "simhash_near_dedup", "packing"]
