@@ -1,21 +1,25 @@
-"""Interpolated modified Kneser-Ney bigram model, counted in Spark (operator 3).
+"""Interpolated modified Kneser-Ney n-gram model, counted in Spark (operator 3).
 
-Tokens are words as 64-bit hashes, then one end of the text; a text's first
-token has the start of the text as its context.
+Tokens are words as 64-bit hashes, then one end of the text; before a text's
+first token stand as many starts as a context is long.  ``train`` takes the
+order (2 by default, any from 2 on).
 
 Counting: tasks turn blocks of texts into different words, and then into
-different bigrams, with their counts, and send them as packed arrays to the
-bucket of their first bits.  A bucket's task merges what it gets and writes
-sorted hash arrays (``.npy``) into a folder that all workers share.  Words and
-bigrams are pre-aggregated before either shuffle, so a frequent one is one
-entry for each block.  Contexts that alone would fill a bucket (found from the
-word counts; a bounded list) are spread over all buckets by the next word.
+different n-grams of the highest order, with their counts, and send them as
+packed arrays to the bucket of their context.  A bucket's task merges what it
+gets, writes sorted hash arrays (``.npy``) into a folder that all workers share,
+and sends each n-gram's ending to the next lower order, where it counts once
+for each different word before it (an ending that begins with a start has no
+different ones and keeps its count).  Words and n-grams are pre-aggregated
+before every shuffle, so a frequent one is one entry for each block.  Contexts
+all of whose words are frequent enough to fill an eighth of a bucket are spread
+over all buckets by the next word; their sums are added in Spark.
 The number of buckets follows the number of tokens, so a bucket's size does not.
 
 Scoring: workers memory-map the arrays and look up each block's different
-bigrams at once by binary search.
+n-grams at once by binary search, from the lowest order to the highest:
 
-    p(w | h) = max(c(h w) - D(c(h w)), 0) / c(h) + g(h) * p(w)
+    p(w | h) = max(c(h w) - D(c(h w)), 0) / c(h) + g(h) * p(w | h without its first word)
     p(w) = max(n(. w) - D'(n(. w)), 0) / n(. .) + g * 1 / (V + 1)
 
 with the three discounts of each level taken from its counts of counts, and
@@ -51,15 +55,15 @@ END = np.uint64(0x0E4D)
 START = np.uint64(0x57A7)
 FLUSH = 3_000_000  # tokens gathered before they are merged and sent
 BUCKET = 2_000_000  # tokens a bucket is made for
-MAX_BITS = 16  # of a bucket's number; beyond that, buckets grow
-HOT_OF_BUCKET = 64  # words a bucket names as frequent
+ORDER = 2
 _K = np.uint64(0x9E3779B97F4A7C15)
 
 BLOB = "bucket long, a binary, n binary, b binary, c binary"
+STATS = ("total", "one", "two", "more")  # of a context: its counts in all, and its different n-grams by count
 
 
-def tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, hash of the token before, row) of every token of a block of texts, ends included."""
+def tokens(data: np.ndarray, at: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """(hash, hashes 1, 2, .. order - 1 tokens before, row) of every token of a block of texts, ends included."""
     data = LOWER[data]
     start, end, row = words(data, at)
     n = len(at) - 1
@@ -69,14 +73,26 @@ def tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     inside = np.ones(h.size, bool)
     inside[last] = False
     h[inside] = hashes(data, start, end)
-    before = np.empty_like(h)
-    before[1:] = h[:-1]
-    before[last - size + 1] = START
+    before, now = [], h
+    for _ in range(order - 1):
+        shifted = np.empty_like(h)
+        shifted[1:] = now[:-1]
+        shifted[last - size + 1] = START
+        before.append(shifted)
+        now = shifted
     return h, before, np.repeat(np.arange(n), size)
 
 
-def pair_key(before: np.ndarray, h: np.ndarray) -> np.ndarray:
-    return mixed(before * _K + h)
+def gram_key(context: np.ndarray, h: np.ndarray) -> np.ndarray:
+    return mixed(context * _K + h)
+
+
+def context_key(before: list[np.ndarray]) -> np.ndarray:
+    """One hash of the tokens before, nearest first; a single one stands for itself."""
+    key = before[0]
+    for x in before[1:]:
+        key = mixed(key * _K + x)
+    return key
 
 
 def bucket_of(h: np.ndarray, bits: int) -> np.ndarray:
@@ -101,30 +117,37 @@ def tally(keys: tuple[np.ndarray, ...], counts: np.ndarray | None = None) -> tup
     return (*(k[first] for k in keys), n.astype(np.int64))
 
 
-def _blobs(bucket: np.ndarray, a: np.ndarray, b: np.ndarray | None, c: np.ndarray) -> pa.RecordBatch:
-    """Entries, sorted by bucket (and a, where b is given), as one row a bucket."""
-    edge = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+def _blobs(bucket: np.ndarray, a: list[np.ndarray], b: np.ndarray | None, c: np.ndarray) -> pa.RecordBatch:
+    """Entries, sorted by bucket (and all of a, where b is given), as one row a bucket."""
+    edge = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if bucket.size else bucket
     rows: list[list] = [[], [], [], [], []]
     for lo, hi in zip(edge, np.r_[edge[1:], bucket.size]):
-        x, counts = a[lo:hi], c[lo:hi].astype("<u4")
+        counts = _narrow(c[lo:hi]).tobytes()
+        x = [k[lo:hi] for k in a]
         if b is None:
-            row = (x.tobytes(), None, None, counts.tobytes())
+            row = (x[0].tobytes(), None, None, counts)
         else:
-            first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
-            row = (x[first].tobytes(), np.diff(np.r_[first, x.size]).astype("<u4").tobytes(), b[lo:hi].tobytes(), counts.tobytes())
+            new = np.zeros(hi - lo, bool)
+            new[0] = True
+            for k in x:
+                new[1:] |= k[1:] != k[:-1]
+            first = np.flatnonzero(new)
+            row = (np.stack([k[first] for k in x], 1).tobytes(), np.diff(np.r_[first, hi - lo]).astype("<u4").tobytes(),
+                   b[lo:hi].tobytes(), counts)
         for column, value in zip(rows, (int(bucket[lo]), *row)):
             column.append(value)
     return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), *(pa.array(r, pa.binary()) for r in rows[1:])],
                                       ["bucket", "a", "n", "b", "c"])
 
 
-def _gathered(docs: DataFrame, text: str, send: Callable[[np.ndarray, np.ndarray], pa.RecordBatch]) -> DataFrame:
+def _gathered(docs: DataFrame, text: str, order: int, send: Callable[..., pa.RecordBatch]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
             for _, _, data, at in blocks(batch.column(0)):
-                held.append(tokens(data, at)[:2])
-                n += held[-1][0].size
+                h, before, _ = tokens(data, at, order)
+                held.append((h, *before))
+                n += h.size
                 if n >= FLUSH:
                     yield send(*(np.concatenate(x) for x in zip(*held)))
                     held, n = [], 0
@@ -138,6 +161,13 @@ def _joined(column: pa.ChunkedArray, dtype: str) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype)
 
 
+def _counts(rows: pa.Table, of: str) -> np.ndarray:
+    """Counts of the 8-byte entries in ``of``; each row has them in 4 or in 8 bytes."""
+    parts = [np.frombuffer(c, "<u8" if len(c) == len(x) else "<u4").astype(np.int64)
+             for x, c in zip(rows[of].to_pylist(), rows["c"].to_pylist())]
+    return np.concatenate(parts)
+
+
 def _save(folder: str, name: str, x: np.ndarray) -> None:
     """Write one array whole, whichever attempt comes last."""
     own = os.path.join(folder, f".{name}-{uuid.uuid4().hex}")
@@ -147,7 +177,7 @@ def _save(folder: str, name: str, x: np.ndarray) -> None:
 
 
 def _narrow(x: np.ndarray) -> np.ndarray:
-    return x.astype("<u4") if not x.size or x.max() < 2 ** 32 else x
+    return x.astype("<u4") if not x.size or x.max() < 2 ** 32 else x.astype("<u8")
 
 
 def _load(folder: str, name: str) -> np.ndarray:
@@ -169,11 +199,11 @@ def discounts(of: list[int]) -> np.ndarray:
 class Model:
     """Sizes, discounts and the folder of the arrays; small enough for every task's closure."""
 
-    def __init__(self, folder: str, word_bits: int, pair_bits: int, hot: dict[int, tuple], n: int, v: int, pairs: int,
-                 low: list[int], low_sums: list[int], high: list[int]):
-        self.folder, self.word_bits, self.pair_bits, self.hot = folder, word_bits, pair_bits, hot
+    def __init__(self, folder: str, order: int, word_bits: int, bits: int, hot: np.ndarray, n: int, v: int, pairs: int,
+                 low: list[int], low_sums: list[int], high: dict[int, list[int]]):
+        self.folder, self.order, self.word_bits, self.bits, self.hot = folder, order, word_bits, bits, hot
         self.n, self.v, self.pairs = n, v, pairs
-        self.low, self.high = discounts(low), discounts(high)
+        self.low, self.high = discounts(low), {k: discounts(x) for k, x in high.items()}
         self.rest = float(self.low[1:] @ np.array(low_sums)) / pairs if pairs else 1.0
 
     def _find(self, kind: str, bits: int, bucket: np.ndarray, keys: np.ndarray, fields: tuple[str, ...]) -> list[np.ndarray]:
@@ -197,136 +227,194 @@ class Model:
         """(count, contexts seen with) of sorted different words."""
         return tuple(self._find("word", self.word_bits, bucket_of(h, self.word_bits), h, ("count", "contexts")))
 
-    def log10(self, h: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def log10(self, h: np.ndarray, before: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """(log10 probability, count in training) of each token."""
         word, at = np.unique(h, return_inverse=True)
         count, contexts = self.words(word)
         if not self.n:
             return np.zeros(h.size), count[at]
         low = np.maximum(contexts - self.low[np.minimum(contexts, 3)], 0) / max(self.pairs, 1) + self.rest / (self.v + 1)
-        # different bigrams, sorted by bucket and key
-        bucket = pair_bucket(before, h, self.pair_bits, self.hot)
-        key = pair_key(before, h)
+        p = low[at]
+        for k in range(2, self.order + 1):
+            p = self._level(k, h, before[:k - 1], p)
+        return np.log10(p), count[at]
+
+    def _level(self, k: int, h: np.ndarray, before: list[np.ndarray], lower: np.ndarray) -> np.ndarray:
+        """Probability of each token by n-grams of order ``k``, from that by the order below."""
+        context, spread = context_key(before), all_hot(before, self.hot)
+        # different n-grams, sorted by bucket and key
+        bucket, key = gram_bucket(context, h, spread, self.bits), gram_key(context, h)
         order = np.lexsort((key, bucket))
         new = np.r_[True, key[order][1:] != key[order][:-1]] if order.size else np.zeros(0, bool)
         first = order[new]
-        (c,) = self._find("pair", self.pair_bits, bucket[first], key[first], ("count",))
-        pair = np.empty(h.size, np.int64)
-        pair[order] = np.cumsum(new) - 1
-        # different contexts
-        context, of = np.unique(before, return_inverse=True)
-        total, one, two, more = self._find("context", self.pair_bits, bucket_of(context, self.pair_bits), context,
-                                           ("total", "one", "two", "more"))
-        for x, sums in self.hot.items():
-            i = np.searchsorted(context, np.uint64(x))
-            if i < context.size and context[i] == np.uint64(x):
-                total[i], one[i], two[i], more[i] = sums
-        left = np.where(total > 0, (self.high[1] * one + self.high[2] * two + self.high[3] * more) / np.maximum(total, 1), 1.0)
-        seen = c[pair]
-        p = np.maximum(seen - self.high[np.minimum(seen, 3)], 0) / np.maximum(total[of], 1) + left[of] * low[at]
-        return np.log10(p), count[at]
+        (c,) = self._find(f"gram{k}", self.bits, bucket[first], key[first], ("count",))
+        gram = np.empty(h.size, np.int64)
+        gram[order] = np.cumsum(new) - 1
+        # different contexts, whole ones and spread ones
+        context, one_of, of = np.unique(context, return_index=True, return_inverse=True)
+        stats = np.zeros((4, context.size), np.int64)
+        for kind, some in (("context", ~spread[one_of]), ("spread", spread[one_of])):
+            x = context[some]
+            stats[:, some] = self._find(f"{kind}{k}", self.bits, bucket_of(x, self.bits), x, STATS)
+        total, (d1, d2, d3) = stats[0], self.high[k][1:]
+        left = np.where(total > 0, (d1 * stats[1] + d2 * stats[2] + d3 * stats[3]) / np.maximum(total, 1), 1.0)
+        seen = c[gram]
+        return np.maximum(seen - self.high[k][np.minimum(seen, 3)], 0) / np.maximum(total[of], 1) + left[of] * lower
+
+
+def all_hot(before: list[np.ndarray], hot: np.ndarray) -> np.ndarray:
+    """Where all tokens of a context are frequent."""
+    out = np.ones(before[0].size, bool)
+    for x in before:
+        out &= np.isin(x, hot)
+    return out
 
 
-def pair_bucket(before: np.ndarray, h: np.ndarray, bits: int, hot) -> np.ndarray:
-    """By the context, or for a hot context by the word that follows."""
-    out = bucket_of(before, bits)
-    if len(hot):
-        spread = np.isin(before, np.array(sorted(hot), np.uint64))
-        out[spread] = bucket_of(mixed(h[spread]), bits)
+def gram_bucket(context: np.ndarray, h: np.ndarray, spread: np.ndarray, bits: int) -> np.ndarray:
+    """By the context, or for a spread context by the word that follows."""
+    out = bucket_of(context, bits)
+    out[spread] = bucket_of(mixed(h[spread]), bits)
     return out
 
 
 def _bits(n: int, at_most: int) -> int:
-    return min(MAX_BITS, max(0, int(np.ceil(np.log2(max(1, n / at_most))))))
+    return max(0, int(np.ceil(np.log2(max(1, n / at_most)))))
+
+
+def _merge_words(folder: str, frequent: float) -> Callable[[tuple, pa.Table], pa.Table]:
+    def merge(key: tuple, rows: pa.Table) -> pa.Table:
+        b = key[0].as_py()
+        w, c = tally((_joined(rows["a"], "<u8"),), _counts(rows, "a"))
+        _save(folder, f"word-{b}-key", w)
+        _save(folder, f"word-{b}-count", _narrow(c))
+        top = np.flatnonzero(c > frequent)
+        return pa.table({"types": pa.array([w.size]), "n": pa.array([int(c.sum())]),
+                         "top": pa.array([w[top].view(np.int64).tolist()], pa.list_(pa.int64())),
+                         "top_n": pa.array([c[top].tolist()], pa.list_(pa.int64()))})
 
+    return merge
 
-def train(docs: DataFrame, text: str = "text") -> Model:
+
+def _save_contexts(folder: str, name: str, context: np.ndarray, stats: list[np.ndarray]) -> None:
+    order = np.argsort(context)
+    _save(folder, f"{name}-key", context[order])
+    for field, x in zip(STATS, stats):
+        _save(folder, f"{name}-{field}", _narrow(x[order]))
+
+
+LEVEL = f"kind string, {BLOB}, of_counts array<long>"
+
+
+def _merge_grams(folder: str, k: int, bits: int, word_bits: int, hot: np.ndarray) -> Callable[[tuple, pa.Table], pa.Table]:
+    """A bucket of order ``k``: its arrays, the blobs of the order below ("down") and the sums of spread contexts ("spread")."""
+
+    def merge(key: tuple, rows: pa.Table) -> pa.Table:
+        own = key[0].as_py()
+        runs = _joined(rows["a"], "<u8").reshape(-1, k - 1)
+        size = _joined(rows["n"], "<u4")
+        before = [np.repeat(runs[:, i], size) for i in range(k - 1)]
+        *before, h, c = tally((*before, _joined(rows["b"], "<u8")), _counts(rows, "b"))
+        new = np.zeros(h.size, bool)
+        new[:1] = True
+        for x in before:
+            new[1:] |= x[1:] != x[:-1]
+        first = np.flatnonzero(new)
+        stats = [np.add.reduceat(x, first).astype(np.int64) for x in (c, c == 1, c == 2, c > 2)]
+        context, spread = context_key([x[first] for x in before]), all_hot([x[first] for x in before], hot)
+        _save_contexts(folder, f"context{k}-{own}", context[~spread], [x[~spread] for x in stats])
+        gram = gram_key(np.repeat(context, np.diff(np.r_[first, h.size])), h)
+        order = np.argsort(gram)
+        _save(folder, f"gram{k}-{own}-key", gram[order])
+        _save(folder, f"gram{k}-{own}-count", _narrow(c[order]))
+        if k == 2:
+            w, contexts = tally((h,))
+            down = _blobs(bucket_of(w, word_bits), [w], None, contexts)
+        else:
+            before = before[:-1]
+            bucket = gram_bucket(context_key(before), h, all_hot(before, hot), bits)
+            bucket, *before, w, contexts = tally((bucket, *before, h), np.where(before[-1] == START, c, 1))
+            down = _blobs(bucket, before, w, contexts)
+        at = np.flatnonzero(spread)
+        at = at[np.argsort(bucket_of(context[at], bits), kind="stable")]
+        shared = _blobs(bucket_of(context[at], bits), [context[at]], None, np.arange(at.size))
+        made = pa.Table.from_batches([down, shared])
+        sums = np.stack([x[at] for x in stats], 1).astype("<i8")
+        edge = np.cumsum([0, *(len(x) // 8 for x in shared.column(1).to_pylist())])
+        packed = [*down.column(4).to_pylist(), *(sums[lo:hi].tobytes() for lo, hi in zip(edge[:-1], edge[1:]))]
+        made = made.set_column(4, "c", pa.array(packed, pa.binary()))
+        kinds = ["down"] * down.num_rows + ["spread"] * shared.num_rows
+        counts = [_of_counts(c)] + [[0] * 4] * (len(kinds) - 1)
+        return made.add_column(0, "kind", pa.array(kinds)).append_column("of_counts", pa.array(counts, pa.list_(pa.int64())))
+
+    return merge
+
+
+def _merge_spread(folder: str, k: int) -> Callable[[tuple, pa.Table], pa.Table]:
+    def merge(key: tuple, rows: pa.Table) -> pa.Table:
+        context, parts = _joined(rows["a"], "<u8"), _joined(rows["c"], "<i8").reshape(-1, 4)
+        order = np.argsort(context, kind="stable")
+        context, parts = context[order], parts[order]
+        first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
+        _save_contexts(folder, f"spread{k}-{key[0].as_py()}", context[first], list(np.add.reduceat(parts, first).T))
+        return pa.table({"contexts": pa.array([first.size])})
+
+    return merge
+
+
+def train(docs: DataFrame, text: str = "text", order: int = ORDER) -> Model:
     """Count all of ``docs`` and write the model's arrays to the shared checkpoint folder."""
+    if order < 2:
+        raise ValueError("the order is 2 or more")
     spark = docs.sparkSession
     folder = shared_folder(spark, "kneser-ney")
     word_bits = _bits(docs.select(F.col(text)).rdd.getNumPartitions(), 1)
 
-    def send_words(h: np.ndarray, before: np.ndarray) -> pa.RecordBatch:
+    def send_words(h: np.ndarray, *_: np.ndarray) -> pa.RecordBatch:
         w, c = tally((h,))
-        return _blobs(bucket_of(w, word_bits), w, None, c)
-
-    def merge_words(key: tuple, rows: pa.Table) -> pa.Table:
-        b = key[0].as_py()
-        w, c = tally((_joined(rows["a"], "<u8"),), _joined(rows["c"], "<u4").astype(np.int64))
-        _save(folder, f"word-{b}-key", w)
-        _save(folder, f"word-{b}-count", _narrow(c))
-        most = np.argsort(-c, kind="stable")[:HOT_OF_BUCKET]
-        return pa.table({"types": pa.array([w.size]), "n": pa.array([int(c.sum())]),
-                         "top": pa.array([w[most].view(np.int64).tolist()]), "top_n": pa.array([c[most].tolist()])})
-
-    sums = _gathered(docs, text, send_words).groupBy("bucket").applyInArrow(
-        merge_words, "types long, n long, top array<long>, top_n array<long>").collect()  # a row a bucket
-    n, v = sum(r["n"] for r in sums), sum(r["types"] for r in sums)
-    pair_bits = _bits(n, BUCKET)
-    most = [(w, c) for r in sums for w, c in zip(r["top"], r["top_n"])]
-    hot = {int(np.int64(w).view(np.uint64)) for w, c in most if pair_bits and c > n / (4 << pair_bits)}
-    if pair_bits:
-        hot.add(int(START))  # the context of every text's first token
-
-    def send_pairs(h: np.ndarray, before: np.ndarray) -> pa.RecordBatch:
-        bucket = pair_bucket(before, h, pair_bits, hot)
-        bucket, a, b, c = tally((bucket, before, h))
-        return _blobs(bucket, a, b, c)
-
-    def merge_pairs(key: tuple, rows: pa.Table) -> pa.Table:
-        own = key[0].as_py()
-        before = np.repeat(_joined(rows["a"], "<u8"), _joined(rows["n"], "<u4"))
-        before, h, c = tally((before, _joined(rows["b"], "<u8")), _joined(rows["c"], "<u4").astype(np.int64))
-        first = np.flatnonzero(np.r_[True, before[1:] != before[:-1]])
-        stats = [np.add.reduceat(x, first) for x in (c, c == 1, c == 2, c > 2)]
-        stats = [s.astype(np.int64) for s in stats]
-        context = before[first]
-        frequent = np.isin(context, np.array(sorted(hot), np.uint64))
-        _save(folder, f"context-{own}-key", context[~frequent])
-        for name, x in zip(("total", "one", "two", "more"), stats):
-            _save(folder, f"context-{own}-{name}", _narrow(x[~frequent]))
-        pair = pair_key(before, h)
-        order = np.argsort(pair)
-        _save(folder, f"pair-{own}-key", pair[order])
-        _save(folder, f"pair-{own}-count", _narrow(c[order]))
-        w, contexts = tally((h,))
-        out = _blobs(bucket_of(w, word_bits), w, None, contexts)
-        m = out.num_rows
-        shared = [(int(x.view(np.int64)), *(int(s[i]) for s in stats)) for i, x in zip(np.flatnonzero(frequent), context[frequent])]
-        info = [[0] * 4] * m
-        info[0] = _of_counts(c)
-        return pa.table({"bucket": out.column(0), "a": out.column(1), "c": out.column(4),
-                         "of_counts": pa.array(info, pa.list_(pa.int64())),
-                         "hot": pa.array([sum(shared, ()) if i == 0 else [] for i in range(m)], pa.list_(pa.int64()))})
-
-    contexts_path = f"file://{folder}/contexts"
-    _gathered(docs, text, send_pairs).groupBy("bucket").applyInArrow(
-        merge_pairs, "bucket long, a binary, c binary, of_counts array<long>, hot array<long>").write.parquet(contexts_path)
-    merged = spark.read.schema("bucket long, a binary, c binary, of_counts array<long>, hot array<long>").parquet(contexts_path)
-    high, hot_sums = [0] * 4, {}
-    for r in merged.where("of_counts != array(0L, 0L, 0L, 0L) OR size(hot) > 0").select("of_counts", "hot").collect():
-        high = [x + y for x, y in zip(high, r["of_counts"])]  # a row a bucket, each with some hot contexts at most
-        for i in range(0, len(r["hot"]), 5):
-            x, *stats = r["hot"][i:i + 5]
-            x = int(np.int64(x).view(np.uint64))
-            hot_sums[x] = tuple(p + q for p, q in zip(hot_sums.get(x, (0,) * 4), stats))
+        return _blobs(bucket_of(w, word_bits), [w], None, c)
+
+    words_path = f"file://{folder}/words"
+    # a bucket will hold over half of BUCKET tokens, so the words that may fill a quarter of it are known before their number is
+    _gathered(docs, text, 2, send_words).groupBy("bucket").applyInArrow(
+        _merge_words(folder, BUCKET / 8), "types long, n long, top array<long>, top_n array<long>").write.parquet(words_path)
+    sums = spark.read.schema("types long, n long, top array<long>, top_n array<long>").parquet(words_path)
+    n, v = (int(x or 0) for x in sums.agg(F.sum("n"), F.sum("types")).first())
+    bits = _bits(n, BUCKET)
+    hot: list[int] = []
+    if bits:  # at most 4 << bits words; the start is the context of every text's first token
+        top = sums.select(F.explode(F.arrays_zip("top", "top_n")).alias("t")).where(F.col("t.top_n") > n / (4 << bits))
+        hot = [int(START), *(int(np.int64(r[0]).view(np.uint64)) for r in top.select("t.top").collect())]
+    hot = np.array(sorted(hot), np.uint64)
+
+    def send_grams(h: np.ndarray, *before: np.ndarray) -> pa.RecordBatch:
+        bucket = gram_bucket(context_key(list(before)), h, all_hot(list(before), hot), bits)
+        bucket, *before, h, c = tally((bucket, *before, h))
+        return _blobs(bucket, before, h, c)
+
+    entries, high = _gathered(docs, text, order, send_grams), {}
+    for k in range(order, 1, -1):
+        path = f"file://{folder}/level{k}"
+        entries.groupBy("bucket").applyInArrow(_merge_grams(folder, k, bits, word_bits, hot), LEVEL).write.parquet(path)
+        merged = spark.read.schema(LEVEL).parquet(path)
+        of = merged.agg(*(F.sum(F.col("of_counts")[i]) for i in range(4))).first()
+        high[k] = [int(x or 0) for x in of]
+        if hot.size:
+            merged.where("kind = 'spread'").select("bucket", "a", "c").groupBy("bucket").applyInArrow(
+                _merge_spread(folder, k), "contexts long").agg(F.sum("contexts")).collect()
+        entries = merged.where("kind = 'down'").select("bucket", "a", "n", "b", "c")
 
     def merge_contexts(key: tuple, rows: pa.Table) -> pa.Table:
         b = key[0].as_py()
-        w, c = tally((_joined(rows["a"], "<u8"),), _joined(rows["c"], "<u4").astype(np.int64))
+        w, c = tally((_joined(rows["a"], "<u8"),), _counts(rows, "a"))
         _save(folder, f"word-{b}-contexts", _narrow(c))  # the same words, in the same order, as word-b-key
         more = [int((c == 1).sum()), int((c == 2).sum()), int((c > 2).sum())]
         return pa.table({"of_counts": pa.array([_of_counts(c)]), "sums": pa.array([more]), "pairs": pa.array([int(c.sum())])})
 
-    low, low_sums, pairs = [0] * 4, [0] * 3, 0
-    for r in merged.select("bucket", "a", "c").groupBy("bucket").applyInArrow(
-            merge_contexts, "of_counts array<long>, sums array<long>, pairs long").collect():
-        low = [x + y for x, y in zip(low, r["of_counts"])]
-        low_sums = [x + y for x, y in zip(low_sums, r["sums"])]
-        pairs += r["pairs"]
-    for x in hot:
-        hot_sums.setdefault(x, (0,) * 4)
-    return Model(folder, word_bits, pair_bits, hot_sums, n, v, pairs, low, low_sums, high)
+    last = entries.select("bucket", "a", "c").groupBy("bucket").applyInArrow(
+        merge_contexts, "of_counts array<long>, sums array<long>, pairs long")
+    last = last.agg(*(F.sum(F.col("of_counts")[i]) for i in range(4)), *(F.sum(F.col("sums")[i]) for i in range(3)), F.sum("pairs"))
+    low = [int(x or 0) for x in last.first()]
+    return Model(folder, order, word_bits, bits, hot, n, v, low[7], low[:4], low[4:7], high)
 
 
 OUT = T.StructType([
@@ -346,7 +434,7 @@ def with_score(docs: DataFrame, model: Model, text: str = "text", carry: list[st
         base, score = np.zeros(len(texts)), np.zeros(len(texts))
         total = np.log10(model.n + 0.5 * (model.v + 1))
         for lo, hi, data, at in blocks(texts, 8 << 20):
-            h, before, row = tokens(data, at)
+            h, before, row = tokens(data, at, model.order)
             p, count = model.log10(h, before)
             n_tokens[lo:hi] = np.bincount(row, minlength=hi - lo)
             n_known[lo:hi] = np.bincount(row[count > 0], minlength=hi - lo)
