@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import random
 from collections import defaultdict
 
 import numpy as np
@@ -69,6 +70,28 @@ def test_clean_documents_stay(spark, docs):
     assert sum(i in kept for i in bad) <= 0.1 * len(bad)
 
 
+def test_classifier_acts_on_what_the_rules_keep(spark, tmp_path):
+    """Documents of short, unended lines: no rule alone can name them, their lines do."""
+    ship(spark)
+    rng = random.Random(6)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnoprstu") for _ in range(rng.randint(3, 7))) for _ in range(3000)]
+
+    def line(n, ended):
+        words = " ".join(rng.choice(vocabulary) for _ in range(n))
+        return f"{words.capitalize()}." if ended else words
+
+    rows = [(i, "\n".join(line(12, True) for _ in range(12)) if i % 3 else "\n".join(line(3, k % 4 > 0) for k in range(40)))
+            for i in range(150)]
+    schema = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").schema
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(150)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    ruled = corpus_pipeline.quality_rules_stage(spark, docs, str(tmp_path))
+    assert ruled.count() == 150
+    kept = corpus_pipeline.quality_classifier_stage(spark, ruled, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in kept} == {i for i in range(150) if i % 3}
+
+
 def test_stages_take_odd_rows(spark, docs):
     odd = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", "s", 0), (1, "", "en", "s", 0), (2, None, "x", None, -1)], docs.schema)
     some = odd.unionByName(docs.limit(30)).unionByName(docs.limit(30))

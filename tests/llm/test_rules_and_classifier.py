@@ -57,6 +57,45 @@ def test_counts_match_plain_python(docs):
         assert r["score"] in ("mine", None)  # an extra column stays; one with an output's name is replaced
 
 
+def plain_votes(text: str | None) -> list[int]:
+    """The ten rules as the README of a data set would state them, with thresholds of their own."""
+    text = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    if not w:
+        return [0] * 10
+    base = brute(text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    letters = sum(c.isascii() and c.isalpha() or not c.isascii() for c in text)
+
+    def below(part: int, whole: int, good: float, bad: float) -> int:
+        x = part / max(whole, 1)
+        return 1 if x < good else -1 if x > bad else 0
+
+    def above(x: float, good: float, bad: float) -> int:
+        return 1 if x > good else -1 if x < bad else 0
+
+    length = sum(map(len, w)) / len(w)
+    return [
+        below(base["n_repeat_words"], len(w), 0.05, 0.3),
+        below(base["n_symbols"], len(w), 0.02, 0.1),
+        below(sum(x[-1] in "#*$%&|<>!" for x in w), len(w), 0.02, 0.1),
+        below(sum("A" <= c <= "Z" for c in text), letters, 0.1, 0.3),
+        below(base["n_dup_lines"], len(lines), 0.05, 0.3),
+        below(sum(a == b for a, b in zip(w, w[1:])), len(w), 0.02, 0.1),
+        below(sum("0" <= c <= "9" for c in text), sum(map(len, w)), 0.05, 0.15),
+        above(sum(x[-1] in ".!?" for x in lines) / len(lines), 0.9, 0.5),
+        above(len(set(w)) / len(w), 0.6, 0.3),
+        1 if 3.5 <= length <= 6.5 else -1 if length < 3 or length > 8 else 0,
+    ]
+
+
+def test_votes_match_rules_written_out():
+    more = ["Call 555 0199 or 555 0100 now, 24 hours.", "A A A b b c.", "One line.\nOne line.\nOther line!", "NO no No? #1 $2 ok*"]
+    got = quality_rules.votes(quality_rules.counts(pa.array(TEXTS + more)))
+    assert got.tolist() == [plain_votes(t) for t in TEXTS + more]
+    assert all({-1, 1} <= set(got[:, k].tolist()) for k in range(10))  # every rule votes both ways here
+
+
 def test_posteriors_match_bayes_rule_written_out():
     rng = np.random.default_rng(1)
     v = rng.integers(-1, 2, (400, len(quality_rules.RULES))).astype(np.int8)
@@ -152,6 +191,29 @@ def test_scores_of_odd_texts(docs, spark):
     assert by_id[4] == by_id[None] and by_id[4] > 0.5 > by_id[8]
 
 
+def log_likelihood(params: np.ndarray, x: np.ndarray, size: np.ndarray, labels: np.ndarray, by_class: np.ndarray) -> float:
+    """Weighted log probability that all lines of each chain have its label, by summing over all labellings."""
+    move, total, lo = params[crf_quality.WIDE:].reshape(2, 2), 0.0, 0
+    for n, label in zip(size, labels):
+        z = x[lo:lo + n] @ params[:crf_quality.WIDE]
+        value = lambda y: sum(z[i] for i, k in enumerate(y) if k) + sum(move[a, b] for a, b in zip(y, y[1:]))
+        every = np.logaddexp.reduce([value(y) for y in itertools.product((0, 1), repeat=int(n))])
+        total += by_class[label] / n * (value((label,) * n) - every)
+        lo += n
+    return total
+
+
+def test_gradient_matches_finite_differences():
+    rng = np.random.default_rng(5)
+    size, labels = np.array([1, 4, 3, 6, 2]), np.array([1, 0, 1, 1, 0])
+    x = rng.normal(size=(size.sum(), crf_quality.WIDE)) * 0.5
+    params, by_class = rng.normal(size=crf_quality.WIDE + 4) * 0.5, np.array([0.3, 0.2])
+    given = (x, size, labels, by_class)
+    step = 1e-4 * np.eye(params.size)
+    want = [(log_likelihood(params + d, *given) - log_likelihood(params - d, *given)) / 2e-4 for d in step]
+    assert np.allclose(crf_quality.gradient(params, *given), want, atol=1e-5)
+
+
 @pytest.mark.parametrize("segment", [1, 2, 3])
 def test_segments_of_long_chains_are_joined(monkeypatch, segment):
     rng = np.random.default_rng(4)
