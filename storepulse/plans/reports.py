@@ -38,7 +38,7 @@ from ..operators.levels import full_union, tagged_union
 from ..operators.lookup import prepare_lookup, with_open_date
 from ..operators.periods import past_year_slice, period_to_date
 from ..operators.transpose import combine, combine_packed, pack
-from ..sinks.writer import write_report
+from ..sinks.writer import read_report, write_report
 
 # Periods whose last-year match is the row's own ly_date (J1); the others use
 # the prior year re-accumulated on the shifted calendar.
@@ -248,14 +248,17 @@ def _period_job(base: DataFrame, lk: DataFrame, period: str, day: Column, namele
 
 def run_job(spark: SparkSession, base: DataFrame, lookup: DataFrame, out_root: str | None = None,
             as_of: str | _dt.date | Column | None = None, periods: tuple[str, ...] = M.PERIODS,
-            timings: dict[str, float] | None = None, parallel: int = 4, database: str | None = None) -> dict[str, str]:
+            timings: dict[str, float] | None = None, parallel: int = 4, database: str | None = None,
+            by_month: bool = False) -> dict[str, str]:
     """Compute and write all thirteen reports, as Parquet under ``out_root`` or as tables of ``database``.
 
     Returns {table name: path or qualified table name}.  The four periods are independent until the
     long report, so their jobs are submitted from ``parallel`` driver threads
     (Spark schedules concurrent jobs; on a cluster this keeps executors busy
     while one period waits on a small stage).  The long report is built from
-    the written tables.  ``timings`` (if given) receives each table's write
+    the written tables.  With ``by_month`` each is laid out in a folder a month
+    (``sinks.read_report`` reads it), and the long report opens only those of its
+    91 days.  ``timings`` (if given) receives each table's write
     wall time.
     """
     if (out_root is None) == (database is None):
@@ -264,16 +267,21 @@ def run_job(spark: SparkSession, base: DataFrame, lookup: DataFrame, out_root: s
     lk = prepare_lookup(lookup)
     nameless = has_nameless(base)
     paths: dict[str, str] = {}
-    stored = spark.read.parquet if database is None else spark.table
+    contracts = {}
+
+    def stored(where: str, first: Column | None = None) -> DataFrame:
+        place = {"path": where} if database is None else {"table": where}
+        return read_report(spark, contracts[where], by_month=by_month, first=first, **place)
 
     def save(df: DataFrame, contract, name: str) -> str:
         start = time.perf_counter()
         if database is None:
             paths[name] = os.path.join(out_root, name)
-            write_report(df, contract, path=paths[name])
+            write_report(df, contract, path=paths[name], by_month=by_month)
         else:
             paths[name] = f"{database}.{name}"
-            write_report(df, contract, table=paths[name])
+            write_report(df, contract, table=paths[name], by_month=by_month)
+        contracts[paths[name]] = contract
         if timings is not None:
             timings[name] = round(time.perf_counter() - start, 3)
         return paths[name]
@@ -283,8 +291,9 @@ def run_job(spark: SparkSession, base: DataFrame, lookup: DataFrame, out_root: s
             f.result()
 
     if set(periods) == set(M.PERIODS):  # the long table needs all twelve frames
+        first = F.date_sub(day, M.ROLLING_WINDOW_DAYS)
         frames = {
-            f"{M.PERIOD_TAG[p]}_{v}": stored(paths[table_name(p, v)])
+            f"{M.PERIOD_TAG[p]}_{v}": stored(paths[table_name(p, v)], first)
             for p in M.PERIODS for v in ("ty", "ly", "comp")
         }
         save(combine(frames, day), schemas.TRANSPOSED, COMBINED_TABLE)

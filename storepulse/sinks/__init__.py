@@ -1,5 +1,5 @@
-"""Report writers (contract-checked, full refresh)."""
+"""Report writers (contract-checked, full refresh) and the reader of what they write."""
 
-from .writer import write_report
+from .writer import read_report, write_report
 
-__all__ = ["write_report"]
+__all__ = ["read_report", "write_report"]

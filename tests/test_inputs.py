@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from conftest import base_row
 from storepulse import schemas
+from storepulse.operators import full_union, since
 from storepulse.plans import run_job
 from storepulse.session import ensure_checkpoint_dir
+from storepulse.sinks import read_report, write_report
 from storepulse.sources import read_report_base, read_store_lookup
 
 
@@ -91,3 +93,45 @@ def test_run_job_writes_tables_and_refreshes_them(spark, make_base, make_lookup)
         assert {int(r["total_sales_amt"]) for r in got.where("segment = 'Total'").collect()} == {sales}
     with pytest.raises(ValueError, match="either a folder or a database"):
         run_job(spark, base, lookup)
+
+
+def test_month_layout_reads_only_its_months(spark, make_base, tmp_path):
+    days = [f"2024-{m:02d}-{d:02d}" for m in range(1, 13) for d in (1, 15, 28)]
+    wide = full_union(make_base([base_row(d, s) for d in days for s in "AB"]), "daily")
+    contract, flat, months = schemas.ty_contract("daily"), f"{tmp_path}/flat", f"{tmp_path}/months"
+    write_report(wide, contract, flat)
+    write_report(wide, contract, months, by_month=True)
+    write_report(wide, contract, months, by_month=True)  # a refresh replaces it
+    whole = read_report(spark, contract, months, by_month=True)
+    plain = read_report(spark, contract, flat)
+    assert whole.schema == contract == plain.schema
+    assert whole.exceptAll(plain).count() == 0 and plain.exceptAll(whole).count() == 0
+
+    recent = since(read_report(spark, contract, months, by_month=True, first=F.lit("2024-10-20").cast("date")),
+                   F.lit("2025-01-19").cast("date"), 91)
+    plan = recent._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(report_month" in plan
+    opened = recent.select("report_date", F.input_file_name().alias("f")).collect()
+    assert {r["f"].split("report_month=")[1][:7] for r in opened} == {"2024-10", "2024-11", "2024-12"}
+    assert {str(r["report_date"]) for r in recent.collect()} == {d for d in days if d >= "2024-10-20"}
+
+    # a row without a date stays in the whole table; a table without rows has the contract's columns
+    odd = wide.limit(1).withColumn("report_date", F.lit(None).cast("date"))
+    write_report(wide.unionByName(odd), contract, months, by_month=True)
+    assert read_report(spark, contract, months, by_month=True).where("report_date IS NULL").count() == 1
+    write_report(wide.limit(0), contract, months, by_month=True)
+    assert read_report(spark, contract, months, by_month=True).count() == 0
+
+
+def test_job_by_month_writes_the_same_reports(spark, base, make_lookup, tmp_path):
+    given = (spark, base, make_lookup([(1, 101, None)]))
+    flat = run_job(*given, f"{tmp_path}/flat", as_of="2024-03-20", periods=("daily",))
+    months = run_job(*given, f"{tmp_path}/months", as_of="2024-03-20", periods=("daily",), by_month=True)
+    assert set(flat) == set(months)
+    for name in flat:
+        a = spark.read.parquet(flat[name])
+        b = read_report(spark, a.schema, months[name], by_month=True)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() == b.count() > 0, name
+    for call in (write_report, lambda df, contract, **where: read_report(spark, contract, **where)):
+        with pytest.raises(ValueError, match="for paths"):
+            call(a, a.schema, table="any", by_month=True)
