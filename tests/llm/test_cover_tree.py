@@ -70,11 +70,70 @@ def test_tree_covers_and_halves():
         n += 1
         todo += node.children
     assert n > 20
-    leaves = [(p, q) for p, q in cover_tree.dual_pairs(tree, tree, 0.1)]
+    leaves = [(p, q) for p, q, whole in cover_tree.dual_pairs(tree, tree, 0.1) if not whole]
     compared = sum((p.hi - p.lo) * (q.hi - q.lo) for p, q in leaves)
     assert compared < 0.5 * len(x) ** 2  # clustered data are pruned
 
 
+def hot_clusters(rng, n, dim):
+    """Unit vectors: a third in one tight cluster, a third in ten, the rest in looser ones around many heads."""
+    heads = cover_tree.unit(rng.normal(size=(200, dim)))
+    head = np.r_[np.zeros(n // 3, int), rng.integers(1, 11, n // 3), rng.integers(11, 200, n - 2 * (n // 3))]
+    noise = np.r_[np.full(n // 3, 0.01), np.full(n // 3, 0.02), np.full(n - 2 * (n // 3), 0.25)] / np.sqrt(dim)
+    return cover_tree.unit(heads[head] + noise[:, None] * rng.normal(size=(n, dim)))
+
+
+def components_of(near, ids):
+    """Smallest id reachable from each, by passing on the neighbours' until nothing changes."""
+    first = ids.copy()
+    while True:
+        least = np.minimum(first, np.where(near, first[None, :], 10**9).min(1))
+        if (least == first).all():
+            return first
+        first = least
+
+
+def test_bounds_settle_most_pairs():
+    rng = np.random.default_rng(5)
+    x = hot_clusters(rng, 4000, 64)
+    n = rng.integers(1, 4, len(x))
+    links, label, compared = cover_tree.linked_within(x, n, np.zeros(len(x), int), 0.95)
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    assert (links == near @ n).all()
+    assert (label == components_of(near, np.arange(len(x)))).all()
+    assert compared < 0.1 * len(x) ** 2  # other pairs are dropped, or linked as a whole
+    two = rng.integers(0, 2, len(x))
+    links, _, compared = cover_tree.linked_within(x, n, two, 0.95)
+    assert (links == (near & (two[:, None] != two[None, :])) @ n).all()
+    assert compared < 0.05 * len(x) ** 2
+
+
+def test_dense_cells_split_and_settle(spark):
+    ship(spark)
+    rng = np.random.default_rng(6)
+    x = hot_clusters(rng, 3000, 16).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(5000 + i, x[i].tolist()) for i in range(0, 3000, 7)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+
+    classes = docs.groupBy(docs["embedding"].alias("vec")).count().selectExpr(
+        "monotonically_increasing_id() AS cls", "count AS n", "vec").cache()
+    cells, known = cover_tree.nested_cells(classes, sample=500, most_cells=200, block=50)
+    assert len(cells.children) > 3 and len(known) <= 200  # the root and dense cells are split
+    assert sum(r["n"] for r in known.values()) == 3000
+    assert any(2 * r["far"] < 0.3 and r["n"] > 100 for r in known.values())  # the hot cluster is a cell that links as a whole
+    flat = cover_tree.nested_cells(classes, sample=500, most_cells=200, block=3000)[1]
+    assert len(flat) == 1
+
+    got = {r["vec_id"]: tuple(r)[1:] for r in cover_tree.near_vectors(docs, sample=500, most_cells=200, block=50).collect()}
+    ids = np.array([k for k, _ in rows])
+    u = cover_tree.unit([v for _, v in rows])
+    near = u @ u.T >= 0.95
+    np.fill_diagonal(near, False)
+    first = components_of(near, ids)
+    assert got == {int(k): (int(m), int(f), bool(k == f)) for k, m, f in zip(ids, near.sum(1), first)}
+
+
 def test_empty_tables(spark):
     ship(spark)
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
