@@ -209,8 +209,12 @@ class Scanner:
 
     def __init__(self, phrases: dict[str, str], templates: list[tuple[str, str]]):
         self.phrases = [(np.array(word_hashes(p), np.uint64), label) for p, label in phrases.items()]
-        self.automata = [(label, compiled(t)) for label, t in templates]
-        wanted = {w for _, a in self.automata for w in a.mandatory}
+        self.automata = []  # (label, automaton, words a match begins with; None if any can)
+        for label, t in templates:
+            a = compiled(t)
+            starts = a.starts()
+            self.automata.append((label, a, None if None in starts else np.array(sorted(starts), np.uint64)))
+        wanted = {w for _, a, _ in self.automata for w in a.mandatory}
         self.wanted = np.array(sorted(wanted), np.uint64)
 
     def scan(self, column: pa.Array) -> tuple[np.ndarray, list[list[dict]], np.ndarray]:
@@ -238,11 +242,10 @@ class Scanner:
             for r in self._rows_with_all(h, row, n):
                 own = h[first[r]:first[r] + size[r]]
                 have = set(own[np.isin(own, self.wanted)].tolist())
-                for label, a in self.automata:
+                for label, a, starts in self.automata:
                     if not a.mandatory <= have:
                         continue
-                    starts = a.starts()
-                    at_words = range(own.size) if None in starts else np.flatnonzero(np.isin(own, np.array(list(starts), np.uint64))).tolist()
+                    at_words = range(own.size) if starts is None else np.flatnonzero(np.isin(own, starts)).tolist()
                     until = 0
                     for i in at_words:
                         if i >= until and (e := a.longest(own, i)) > 0:
@@ -265,7 +268,7 @@ class Scanner:
         have = np.zeros((n, self.wanted.size), bool)
         have[row[i], at[i]] = True
         some = np.zeros(n, bool)
-        for _, a in self.automata:
+        for _, a, _ in self.automata:
             some |= have[:, np.searchsorted(self.wanted, np.array(sorted(a.mandatory), np.uint64))].all(1)
         return np.flatnonzero(some).tolist()
 
