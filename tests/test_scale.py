@@ -94,6 +94,29 @@ def test_a_folder_of_mixed_files_is_refused(spark, make_lookup, make_base, tmp_p
         read_report_base(spark, f"{tmp_path}/a b=%/base")
 
 
+def test_a_task_of_the_derivation_holds_no_more_as_tables_grow(spark, monkeypatch):
+    """Lines and orders are dealt by what their tables hold, not by the session's few shuffle partitions."""
+    import re
+
+    from storepulse.sources import fixtures
+    few = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        want = fixtures.derive_report_base(spark, "/root/testdata/sf0.001")
+        rows = want.collect()
+        monkeypatch.setattr(fixtures, "TASK_ROWS", 500)
+        for in_memory in (fixtures.PARTS_IN_MEMORY, 10):  # part is broadcast, or dealt like the lines
+            monkeypatch.setattr(fixtures, "PARTS_IN_MEMORY", in_memory)
+            got = fixtures.derive_report_base(spark, "/root/testdata/sf0.001")
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            for key in ["l_orderkey", "o_orderkey", "o_custkey", "c_custkey"] + ["l_partkey", "p_partkey"] * (in_memory == 10):
+                tasks = [int(n) for n in re.findall(rf"Exchange hashpartitioning\({key}#\d+L, (\d+)\)", plan)]
+                assert tasks and min(tasks) >= 12, (key, plan)
+            assert sorted(map(str, got.collect())) == sorted(map(str, rows))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", few)
+
+
 # ---- W1-W5
 
 def test_rows_without_a_name_are_summed_in_many_tasks(spark, make_base):
