@@ -17,7 +17,8 @@ many rows they hold; pairs that the bound drops are gone; the others are
 compared in blocks of about ``BLOCK`` vectors, each pair of blocks in a group of
 its own.  Inside the blocks nodes are split at half their radius again, both
 blocks' trees are descended together under the same two bounds, and pairs of
-leaves that neither settles are compared by one matrix product in double precision.
+leaves that neither settles are compared by one matrix product in double precision,
+of the rows that a bound on a few leading axes leaves.
 
 Equal vectors are one row throughout, with their number.  A task returns, for
 each vector, how many rows its links reach, and only as many edges as it needs
@@ -38,6 +39,8 @@ an empty table gives an empty result.  Extra columns are left out.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -56,6 +59,9 @@ FEW = 32  # rows that are never split
 BRANCHES = 16
 SHRINK = 0.8  # a small node is split if radii fall to this share of its own
 SLACK = 1e-6  # of a bound, far above rounding
+HEAD = 24  # leading axes by which pairs of rows are dropped before their products are taken
+HEAD_ROWS = 512  # rows of a group that these axes are taken from
+HEAD_SLACK = 1e-4  # of that bound, far above rounding in single precision
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -144,7 +150,7 @@ def dual_pairs(a: Tree, b: Tree, within: float):
     todo = [(a.root, b.root)]
     while todo:
         p, q = todo.pop()
-        between, reach = float(apart(p.centre @ q.centre)), p.radius + q.radius
+        between, reach = math.sqrt(max(2 - 2 * float(p.centre @ q.centre), 0)), p.radius + q.radius
         if between > reach + within + SLACK:
             continue
         if between + reach <= within - SLACK:
@@ -159,6 +165,22 @@ def dual_pairs(a: Tree, b: Tree, within: float):
             yield p, q, False
 
 
+def heads(x: np.ndarray) -> np.ndarray | None:
+    """For each unit vector a short one; no two vectors' cosine is above the product of their short ones.
+
+    These are the coordinates on ``HEAD`` orthonormal axes, on which the vectors are longest, and the
+    length of what these leave: what they leave of two vectors adds the product of the lengths at most.
+    None if that is hardly shorter than the vectors.
+    """
+    if x.shape[1] < 2 * HEAD or len(x) < HEAD:
+        return None
+    some = x[::-(-len(x) // HEAD_ROWS)]
+    axes = np.linalg.svd(some, full_matrices=False)[2][:HEAD]
+    head = x @ axes.T
+    rest = np.sqrt(np.maximum(1 - (head * head).sum(1, keepdims=True), 0))
+    return np.concatenate([head, rest], 1).astype(np.float32)
+
+
 def linked_within(x: np.ndarray, n: np.ndarray, side: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, int]:
     """(rows linked to each vector, label of each vector's component, pairs compared) over one or two blocks of unit vectors.
 
@@ -173,6 +195,31 @@ def linked_within(x: np.ndarray, n: np.ndarray, side: np.ndarray, least: float)
         return links, forest.label, compared
     a, b = trees[0], trees[-1]
     row_a, row_b = at[0][a.order], at[-1][b.order]
+    head = heads(x)
+    head_a, head_b = (None, None) if head is None else (head[row_a], head[row_b])
+
+    def compare(p_lo: int, p_hi: int, q_lo: int, q_hi: int, same: bool) -> None:
+        for lo in range(p_lo, p_hi, 512):
+            hi = min(p_hi, lo + 512)
+            u, v, i, j = a.x[lo:hi], b.x[q_lo:q_hi], row_a[lo:hi], row_b[q_lo:q_hi]
+            if head is not None:
+                may = head_a[lo:hi] @ head_b[q_lo:q_hi].T >= least - HEAD_SLACK
+                if not may.any():
+                    continue
+                some, others = may.any(1), may.any(0)
+                u, v, i, j = u[some], v[others], i[some], j[others]
+            near = u @ v.T >= least
+            if same:
+                near &= i[:, None] != j[None, :]
+            if not near.any():
+                continue
+            links[i] += near @ n[j]
+            if not same:
+                links[j] += near.T @ n[i]
+            u, v = np.nonzero(near & (forest.label[i][:, None] != forest.label[j][None, :]))
+            forest.join(i[u], j[v])
+
+    met: dict[tuple[int, int], list] = {}  # of a leaf, the rows of the leaves that it is compared with
     for p, q, whole in dual_pairs(a, b, float(apart(least))):
         if whole:
             i, j = row_a[p.lo:p.hi], row_b[q.lo:q.hi]
@@ -186,19 +233,17 @@ def linked_within(x: np.ndarray, n: np.ndarray, side: np.ndarray, least: float)
             forest.join(np.full(other.size, i[0]), other)
             continue
         compared += (p.hi - p.lo) * (q.hi - q.lo)
-        for lo in range(p.lo, p.hi, 512):
-            hi = min(p.hi, lo + 512)
-            near = a.x[lo:hi] @ b.x[q.lo:q.hi].T >= least
-            i, j = row_a[lo:hi], row_b[q.lo:q.hi]
-            if p is q:
-                near &= i[:, None] != j[None, :]
-            if not near.any():
-                continue
-            links[i] += near @ n[j]
-            if p is not q:
-                links[j] += near.T @ n[i]
-            u, v = np.nonzero(near & (forest.label[i][:, None] != forest.label[j][None, :]))
-            forest.join(i[u], j[v])
+        if p is q:
+            compare(p.lo, p.hi, q.lo, q.hi, True)
+        else:
+            met.setdefault((p.lo, p.hi), []).append((q.lo, q.hi))
+    for (lo, hi), ranges in met.items():
+        ranges.sort()
+        first = 0
+        for k in range(1, len(ranges) + 1):  # leaves side by side are compared at once
+            if k == len(ranges) or ranges[k][0] != ranges[k - 1][1]:
+                compare(lo, hi, ranges[first][0], ranges[k - 1][1], False)
+                first = k
     return links, forest.label, compared
 
 

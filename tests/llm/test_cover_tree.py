@@ -109,6 +109,27 @@ def test_bounds_settle_most_pairs():
     assert compared < 0.05 * len(x) ** 2
 
 
+def test_short_vectors_bound_the_cosine(monkeypatch):
+    """Of directions that no bound on nodes tells apart, nearly all pairs are dropped by their leading axes."""
+    rng = np.random.default_rng(7)
+    x = cover_tree.unit(rng.normal(size=(1500, 64)))
+    x[700:800] = cover_tree.unit(x[:100] + 0.02 * rng.normal(size=(100, 64)))
+    head = cover_tree.heads(x)
+    assert head.shape == (1500, cover_tree.HEAD + 1)
+    assert (head @ head.T >= x @ x.T - cover_tree.HEAD_SLACK / 2).all()
+    assert (head @ head.T >= 0.95).mean() < 0.01
+    assert cover_tree.heads(x[:, :20]) is None
+    side = (np.arange(1500) >= 750).astype(int)
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    assert near[:100].any(1).sum() > 50
+    n = rng.integers(1, 4, len(x))
+    for which, mine in ((np.zeros(1500, int), near), (side, near & (side[:, None] != side[None, :]))):
+        links, label, _ = cover_tree.linked_within(x, n, which, 0.95)
+        assert (links == mine @ n).all()
+        assert (label == components_of(mine, np.arange(len(x)))).all()
+
+
 def test_dense_cells_split_and_settle(spark):
     ship(spark)
     rng = np.random.default_rng(6)
