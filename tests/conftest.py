@@ -67,3 +67,14 @@ def make_lookup(spark):
     def make(rows):
         return spark.createDataFrame(rows, schemas.STORE_LOOKUP)
     return make
+
+
+@pytest.fixture(autouse=True)
+def no_views_left(request):
+    """Views of a test are dropped after it: the session is shared, and a catalog lists them with every database's tables."""
+    yield
+    if "spark" in request.fixturenames:
+        session = request.getfixturevalue("spark")
+        for t in session.catalog.listTables():
+            if t.isTemporary:
+                session.catalog.dropTempView(t.name)

@@ -117,6 +117,20 @@ def test_a_task_of_the_derivation_holds_no_more_as_tables_grow(spark, monkeypatc
         spark.conf.set("spark.sql.shuffle.partitions", few)
 
 
+def test_conditional_sums_add_up_only_what_counts(spark):
+    """0 where nothing counts, null where all rows count and have no value; rows that don't count are not added."""
+    from storepulse.sources.fixtures import _sum_if
+    rows = [(g, c, None if v is None else Decimal(v)) for g, of in enumerate([
+        [(True, 5), (False, 7), (None, 9)], [(False, 5), (None, None)], [(True, None), (True, None)],
+        [(True, None), (False, 3)], [(True, None), (None, 3)], [(None, None)], [(True, 2), (True, None)]]) for c, v in of]
+    df = spark.createDataFrame(rows, "g int, c boolean, v decimal(21,4)")
+    got = df.groupBy("g").agg(F.expr(_sum_if("c", "v")).alias("a"), F.expr(_sum_if("c", "v", nullable=True)).alias("b"))
+    want = df.groupBy("g").agg(F.expr("sum(CASE WHEN c THEN v ELSE 0 END)").alias("a"), F.expr("sum(CASE WHEN c THEN v END)").alias("b"))
+    assert got.dtypes == want.dtypes and sorted(got.collect()) == sorted(want.collect())
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FILTER (WHERE c#") >= 2 and "ELSE 0.0000" not in plan
+
+
 # ---- W1-W5
 
 def test_rows_without_a_name_are_summed_in_many_tasks(spark, make_base):
